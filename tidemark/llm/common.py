@@ -63,3 +63,22 @@ def type_of(df: DataFrame, column: str) -> str:
 def row_keys(docs: DataFrame) -> DataFrame:
     """``docs`` with a 64-bit key of the whole row in column ``_row``; only rows that are equal throughout share one."""
     return docs.withColumn("_row", F.xxhash64(*(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")) for c in docs.columns), *(F.col(f"`{c}`").isNull() for c in docs.columns)))
+
+
+#: Bits of the bitmaps that stand for a set of keys, whatever its size.
+MEMBER_BITS = 1 << 26
+
+
+def maybe_members(df: DataFrame, key: str, keys: DataFrame, keep: bool = True) -> DataFrame:
+    """The rows of ``df`` whose BIGINT ``key`` may be in column ``key`` of ``keys`` (``keep``), or surely is not.
+
+    A bitmap of at most ``MEMBER_BITS`` bits (8 MB) is broadcast: no key is missed; the more keys, the more others pass.
+    """
+    at = F.pmod(F.xxhash64(F.col(key)), F.lit(MEMBER_BITS)).cast("bigint")
+    maps = keys.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("_bits"))
+    placed = df.withColumn("_at", at).withColumn("_b", F.bitmap_bucket_number("_at"))
+    j = placed.join(F.broadcast(maps), F.col("_b") == F.col("_bucket"), "left")
+    bit = F.bitmap_bit_position("_at")
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10)
+    found = F.coalesce(F.call_function("shiftrightunsigned", byte.cast("bigint"), F.pmod(bit, F.lit(8)).cast("int")).bitwiseAND(F.lit(1).cast("bigint")) == 1, F.lit(False))
+    return j.where(found if keep else ~found).select(*(F.col(f"`{c}`") for c in df.columns))

@@ -9,10 +9,11 @@ A sorted array of all suffixes would take 16 bytes and more for each byte of tex
 2. Equal regions are counted by 128-bit hash. A region that occurs twice is covered as a whole, however often it
    occurs, and goes on as one representative.
 3. Regions that occur once but share their leading bytes with others are compared: sampled splitters range-partition
-   their suffixes by leading bytes, buckets are sorted, and neighbours give each suffix its longest common prefix; the
-   same over reversed bytes gives the longest common part on the left. A bucket's first and last suffix, whose other
-   neighbour is in another bucket, keep their whole range. What remains possible between both bounds is a few windows
-   a region; these are matched exactly, by 128-bit hash.
+   their suffixes by leading bytes and buckets are sorted. Small groups of equal leading bytes are compared pair by
+   pair. In larger ones, neighbours give each suffix its longest common prefix, the same over reversed bytes gives
+   the longest common part on the left, and the windows that remain possible between both bounds are matched exactly,
+   by 128-bit hash. A group that a bucket's end may cut counts as large, and the suffixes at the ends keep their whole
+   range.
 
 Cases: null text is empty bytes; texts shorter than ``least`` keep all; repeated rows are repeats of each other and
 return once each; a null id is kept; an empty table gives an empty result; other columns are ignored.
@@ -30,10 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import staged, type_of
+from tidemark.llm.common import maybe_members, staged, type_of
 
 LEAST = 400
 GRAM = 64
+#: Regions of equal leading bytes that are compared pair by pair; larger groups go by bounds and window hashes.
+SMALL = 64
 _B = 0x9E3779B97F4A7C15 | 1
 _U = np.uint64
 
@@ -94,17 +97,14 @@ def _sample(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram, whole = xxhash.xxh3_64_intdigest, xxhash.xxh3_128_intdigest
         for batch in batches:
-            ids, row, th, out = batch.column(0), [], [], []
-            for k, (h, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
-                data = (text or "").encode()
+            out = []
+            for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                data = text.encode()
                 for a, p, q in regions(data, least):
                     r = whole(data[p : q + least])
-                    row.append(k)
-                    th.append(h)
-                    out.append((a, p, q, _signed(gram(data[a : a + GRAM])), _signed(r >> 64), _signed(r & (2**64 - 1))))
+                    out.append((h, a, p, q, _signed(gram(data[a : a + GRAM])), _signed(r >> 64), _signed(r & (2**64 - 1))))
             if out:
-                cols = list(zip(*out))
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array(th, pa.int64()), *(pa.array(c, pa.int64()) for c in cols)], names=["id", "th", "a", "p", "q", "kh", "r1", "r2"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["th", "a", "p", "q", "kh", "r1", "r2"])
 
     return run
 
@@ -116,41 +116,95 @@ def _common(x: bytes, y: bytes) -> int:
     return int(np.argmax(np.frombuffer(x, np.uint8, n) != np.frombuffer(y, np.uint8, n)))
 
 
+def _pairs(rows: list[dict], least: int) -> list[dict]:
+    """Compares all regions of a small group; ``sure``: the windows that others hold."""
+    sides = [(r["bytes"][: r["a"] - r["base"]][::-1], r["bytes"][r["a"] - r["base"] :]) for r in rows]
+    for i, x in enumerate(rows):
+        for j in range(i):
+            y = rows[j]
+            if x["once"] or y["once"]:
+                left, right = (_common(m, n) for m, n in zip(sides[i], sides[j]))
+                if left + right >= least:
+                    for r in (x, y):
+                        if r["once"]:
+                            r["sure"].append((r["a"] - left, r["a"] + right - least))
+    return [r | {"q": r["p"] - 1, "bytes": b"", "key": b""} for r in rows if r["sure"]]
+
+
 def _narrow(least: int, right: bool):
     """Cuts each region to the windows that its longest common prefix (right) or suffix (left) with a neighbour allows.
 
-    Rows come sorted by (kh, key); key is the suffix from the sampled position, or the reversed bytes before it.
+    Rows come sorted by (kh, key); key is the suffix from the sampled position, or the reversed bytes before it. On the
+    right, groups of up to ``SMALL`` regions that lie within the bucket are settled at once, pair by pair.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = None
-        prev = held = None  # the row before the held one, as (kh, key); the row that waits for its next neighbour
-        first = True
-
-        def settle(row: dict, common: int | None) -> dict | None:
-            if common is not None:
-                if right:
-                    row["q"] = min(row["q"], row["a"] + common - least)
-                else:
-                    row["p"] = max(row["p"], row["a"] - common)
-            return row if row["p"] <= row["q"] else None
-
-        for batch in batches:
-            schema = batch.schema
-            out = []
-            for row in batch.to_pylist():
-                if held is not None:
-                    left = None if first else _common(prev[1], held["key"]) if prev and prev[0] == held["kh"] else 0
-                    after = _common(held["key"], row["key"]) if held["kh"] == row["kh"] else 0
-                    done = settle(held, None if left is None else max(left, after))
-                    if done:
-                        out.append(done)
-                    first, prev = False, (held["kh"], held["key"])
-                held = row
-            if out:
-                yield pa.RecordBatch.from_pylist(out, schema=schema)
+    def settle(row: dict, common: int | None) -> list[dict]:
+        if common is not None:
+            if right:
+                row["q"] = min(row["q"], row["a"] + common - least)
+            else:
+                row["p"] = max(row["p"], row["a"] - common)
+        return [row] if row["p"] <= row["q"] else []
+
+    def stream(rows: Iterator[dict]) -> Iterator[dict]:
+        prev = held = None
+        for row in rows:
+            if held is not None:
+                near = None if prev is None else max(prev, _common(held["key"], row["key"]) if held["kh"] == row["kh"] else 0)
+                following = _common(held["key"], row["key"]) if held["kh"] == row["kh"] else 0
+                yield from settle(held, near)
+                prev = following
+            held = row
         if held is not None:
-            yield pa.RecordBatch.from_pylist([held], schema=schema)
+            yield held
+
+    def groups(rows: Iterator[dict]) -> Iterator[dict]:
+        """Small groups are settled; the others, and those at the bucket's ends, are streamed."""
+
+        def of(kh: int, first: list[dict]) -> Iterator[dict]:
+            nonlocal ahead
+            yield from first
+            for row in rows:
+                if row["kh"] != kh:
+                    ahead = row
+                    return
+                yield row
+
+        ahead = next(rows, None)
+        lead = True
+        while ahead is not None:
+            kh, group, ahead = ahead["kh"], [ahead], None
+            for row in rows:
+                if row["kh"] != kh:
+                    ahead = row
+                    break
+                group.append(row)
+                if len(group) > SMALL:
+                    break
+            if len(group) > SMALL:
+                yield from stream(of(kh, group))
+            elif lead or ahead is None:
+                yield from stream(iter(group))
+            else:
+                yield from _pairs(group, least)
+            lead = False
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema: list = []
+
+        def rows() -> Iterator[dict]:
+            for batch in batches:
+                schema[:] = [batch.schema]
+                yield from batch.to_pylist()
+
+        out = []
+        for row in (groups if right else stream)(rows()):
+            out.append(row)
+            if len(out) == 2000:
+                yield pa.RecordBatch.from_pylist(out, schema=schema[0])
+                out = []
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema=schema[0])
 
     return run
 
@@ -168,8 +222,8 @@ def _windows(least: int):
             if out:
                 w, h1, h2 = zip(*out)
                 at = pa.array(row)
-                keep = [batch.column(batch.schema.get_field_index(c)).take(at) for c in ("id", "th", "once")]
-                yield pa.RecordBatch.from_arrays([*keep, pa.array(w, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())], names=["id", "th", "once", "w", "h1", "h2"])
+                keep = [batch.column(batch.schema.get_field_index(c)).take(at) for c in ("th", "once")]
+                yield pa.RecordBatch.from_arrays([*keep, pa.array(w, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())], names=["th", "once", "w", "h1", "h2"])
 
     return run
 
@@ -189,28 +243,27 @@ def cut_out(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tupl
     return b"".join([*kept, data[at:]]), [(a, b) for a, b in merged]
 
 
-def repeated_spans(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
-    """``docs`` (id, text) as (id, th, text), and (id, th, spans ARRAY of [start, end)) of what is repeated in them."""
-    spark = docs.sparkSession
-    kind = type_of(docs, "id")
-    keyed = docs.select("id", F.xxhash64("text").alias("th"), "text")
-    schema = T._parse_datatype_string(f"id {kind}, th bigint, a bigint, p bigint, q bigint, kh bigint, r1 bigint, r2 bigint")
-    sampled = staged(keyed.where(F.octet_length("text") >= least).mapInArrow(_sample(least), schema), "suffixes")
-    own = F.xxhash64(F.col("id").cast("string"), "th", "a")
+def repeated_spans(texts: DataFrame, least: int = LEAST) -> DataFrame:
+    """(th, spans ARRAY of STRUCT<s, e>) of what is repeated in ``texts`` (th, text); equal texts share their 64-bit hash th."""
+    spark = texts.sparkSession
+    texts = texts.where(F.octet_length("text") >= least)
+    schema = T._parse_datatype_string("th bigint, a bigint, p bigint, q bigint, kh bigint, r1 bigint, r2 bigint")
+    sampled = staged(texts.select("th", "text").mapInArrow(_sample(least), schema), "suffixes")
+    own = F.xxhash64("th", "a")
     counted = staged(sampled.groupBy("kh", "r1", "r2").agg(F.count("*").alias("n"), F.min(own).alias("rep")), "regions")
     # Leading bytes that several regions share, at least one of which occurs once.
     shared = counted.groupBy("kh").agg(F.count("*").alias("m"), F.min("n").alias("least_n")).where("m > 1 and least_n = 1").select("kh", F.lit(True).alias("edge"))
     known = counted.join(shared, "kh", "left").where("n > 1 or edge").select("kh", "r1", "r2", "n", "rep", "edge")
-    marked = staged(sampled.join(known, ["kh", "r1", "r2"]).select("id", "th", "a", "p", "q", "kh", (F.col("n") == 1).alias("once"), (F.col("edge") & (own == F.col("rep"))).alias("compare")), "marked")
-
-    covered = marked.where(~F.col("once")).select("id", "th", F.struct(F.col("p").alias("s"), (F.col("q") + least).alias("e")).alias("span"))
-    # A repeated row may bring a representative twice; that only matches itself, and only single regions' windows count.
-    asked = marked.where("compare")
-    per_doc = asked.groupBy("id", "th").agg(F.collect_list(F.struct("a", "p", "q", "kh", "once")).alias("asked"))
-    text_of = keyed.where(F.octet_length("text") >= least)
-    cut = text_of.join(per_doc, text_of["id"].eqNullSafe(per_doc["id"]) & (text_of["th"] == per_doc["th"])).select(text_of["id"], text_of["th"], F.col("text").cast("binary").alias("data"), F.explode("asked").alias("x"))
+    marked = sampled.join(known, ["kh", "r1", "r2"]).select("th", "a", "p", "q", "kh", (F.col("n") == 1).alias("once"), F.coalesce(F.col("edge") & (own == F.col("rep")), F.lit(False)).alias("compare"))
+    marked = staged(marked, "marked")
+
+    covered = marked.where(~F.col("once")).select("th", F.struct(F.col("p").alias("s"), (F.col("q") + least).alias("e")).alias("span"))
+    asked = marked.where("compare").groupBy("th").agg(F.collect_set(F.struct("a", "p", "q", "kh", "once")).alias("asked"))
+    needed = maybe_members(texts.select("th", "text"), "th", marked.where("compare").select("th")).dropDuplicates(["th"])
+    cut = needed.join(asked, "th").select("th", F.col("text").cast("binary").alias("data"), F.explode("asked").alias("x"))
     part = F.expr(f"substring(data, cast(x.p + 1 as int), cast(x.q - x.p + {least} as int))")
-    cut = cut.select("id", "th", "x.a", "x.p", "x.q", "x.kh", "x.once", F.col("x.p").alias("base"), part.alias("bytes"))
+    none = F.array().cast("array<struct<s:bigint,e:bigint>>")
+    cut = cut.select("th", "x.a", "x.p", "x.q", "x.kh", "x.once", F.col("x.p").alias("base"), none.alias("sure"), part.alias("bytes"))
 
     def bounded(df: DataFrame, right: bool) -> DataFrame:
         # key: the suffix from a, or the reversed bytes before a
@@ -220,20 +273,23 @@ def repeated_spans(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Data
         ready = ready.repartitionByRange(parts, "kh", "key").sortWithinPartitions("kh", "key")
         return ready.mapInArrow(_narrow(least, right), ready.schema).drop("key")
 
-    narrow = bounded(bounded(staged(cut, "edges"), True), False)
-    w_schema = T._parse_datatype_string(f"id {kind}, th bigint, once boolean, w bigint, h1 bigint, h2 bigint")
-    windows = staged(narrow.mapInArrow(_windows(least), w_schema), "windows")
+    first = staged(bounded(staged(cut, "edges"), True), "bounded")
+    sure = first.select("th", F.explode("sure").alias("x")).select("th", F.struct("x.s", (F.col("x.e") + least).alias("e")).alias("span"))
+    w_schema = T._parse_datatype_string("th bigint, once boolean, w bigint, h1 bigint, h2 bigint")
+    windows = staged(bounded(first.where("p <= q"), False).mapInArrow(_windows(least), w_schema), "windows")
     twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
-    matched = windows.where("once").join(twice, ["h1", "h2"]).select("id", "th", F.struct(F.col("w").alias("s"), (F.col("w") + least).alias("e")).alias("span"))
-    spans = covered.union(matched).groupBy("id", "th").agg(F.collect_set("span").alias("spans"))
-    return keyed, spans
+    matched = windows.where("once").join(twice, ["h1", "h2"]).select("th", F.struct(F.col("w").alias("s"), (F.col("w") + least).alias("e")).alias("span"))
+    return covered.union(sure).union(matched).groupBy("th").agg(F.collect_set("span").alias("spans"))
 
 
 def deduplicate(docs: DataFrame, least: int = LEAST, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_removed, spans ARRAY of STRUCT<s, e>, kept_sha256[, kept BINARY]): a row for each row of ``docs``."""
+    """(id, n_bytes, n_removed, spans ARRAY of STRUCT<s, e>, kept_sha256[, kept BINARY]): a row for each row of ``docs``.
+
+    Only texts that may have spans are shuffled to them; the others are passed on where they are read.
+    """
     light = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    keyed, spans = repeated_spans(light, least)
-    both = keyed.join(spans, keyed["id"].eqNullSafe(spans["id"]) & (keyed["th"] == spans["th"]), "left").select(keyed["id"], "text", "spans")
+    keyed = light.select("id", F.xxhash64("text").alias("th"), "text")
+    spans = staged(repeated_spans(keyed, least), "spans")
     schema = T._parse_datatype_string(f"id {type_of(light, 'id')}, n_bytes bigint, n_removed bigint, spans array<struct<s:bigint,e:bigint>>, kept_sha256 string" + ", kept binary" * with_text)
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -249,4 +305,10 @@ def deduplicate(docs: DataFrame, least: int = LEAST, with_text: bool = False, id
             if out:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, f.type) for c, f in zip(zip(*out), list(arrow)[1:]))], names=schema.names)
 
-    return both.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    keys = spans.select("th")
+    touched = maybe_members(keyed, "th", keys).join(spans, "th", "left").select("id", "text", "spans").mapInArrow(run, schema)
+    data = F.col("text").cast("binary")
+    whole = maybe_members(keyed, "th", keys, keep=False).select(
+        "id", F.octet_length("text").cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_removed"), F.array().cast(schema["spans"].dataType).alias("spans"), F.sha2(data, 256).alias("kept_sha256"), *[data.alias("kept")] * with_text
+    )
+    return touched.union(whole).withColumnRenamed("id", id_col)

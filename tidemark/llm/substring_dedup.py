@@ -11,8 +11,8 @@ A sorted array of all suffixes would take 16 bytes and more for each byte of tex
 3. Regions that occur once but share their leading bytes with others are compared: sampled splitters range-partition
    their suffixes by leading bytes and buckets are sorted. Small groups of equal leading bytes are compared pair by
    pair. In larger ones, neighbours give each suffix its longest common prefix, the same over reversed bytes gives
-   the longest common part on the left, and the windows that remain possible between both bounds are matched exactly,
-   by 128-bit hash. A group that a bucket's end may cut counts as large, and the suffixes at the ends keep their whole
+   the longest common part on the left; what a suffix shares with those next to it is sure, and the windows that remain
+   possible between both bounds are matched exactly, by 128-bit hash. A group that a bucket's end may cut counts as large, and the suffixes at the ends keep their whole
    range.
 
 Cases: null text is empty bytes; texts shorter than ``least`` keep all; repeated rows are repeats of each other and
@@ -22,6 +22,7 @@ return once each; a null id is kept; an empty table gives an empty result; other
 from __future__ import annotations
 
 import hashlib
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,8 @@ LEAST = 400
 GRAM = 64
 #: Regions of equal leading bytes that are compared pair by pair; larger groups go by bounds and window hashes.
 SMALL = 64
+#: Rows before each one in a large group's order that it is compared with on both sides.
+NEAR = 8
 _B = 0x9E3779B97F4A7C15 | 1
 _U = np.uint64
 
@@ -147,16 +150,28 @@ def _narrow(least: int, right: bool):
         return [row] if row["p"] <= row["q"] else []
 
     def stream(rows: Iterator[dict]) -> Iterator[dict]:
-        prev = held = None
+        """The nearest neighbours bound each row; what the last NEAR rows share with it on both sides is sure."""
+        held: deque = deque()  # (row, bytes before a, common part with the row before; None at the bucket's start)
         for row in rows:
-            if held is not None:
-                near = None if prev is None else max(prev, _common(held["key"], row["key"]) if held["kh"] == row["kh"] else 0)
-                following = _common(held["key"], row["key"]) if held["kh"] == row["kh"] else 0
-                yield from settle(held, near)
-                prev = following
-            held = row
-        if held is not None:
-            yield held
+            side = row["bytes"][: row["a"] - row["base"]][::-1]
+            before = 0 if held else None
+            for other, other_side, _ in held if right else list(held)[-1:]:
+                if other["kh"] != row["kh"]:
+                    continue
+                common = _common(other["key"], row["key"])
+                if other is held[-1][0]:
+                    before = common
+                if right and (other["once"] or row["once"]) and common + (left := _common(other_side, side)) >= least:
+                    for r in (other, row):
+                        if r["once"]:
+                            r["sure"].append((r["a"] - left, r["a"] + common - least))
+            held.append((row, side, before))
+            if len(held) > NEAR:
+                first, _, common = held.popleft()
+                yield from settle(first, None if common is None else max(common, held[0][2]))
+        while held:
+            first, _, common = held.popleft()
+            yield from settle(first, None if common is None or not held else max(common, held[0][2]))
 
     def groups(rows: Iterator[dict]) -> Iterator[dict]:
         """Small groups are settled; the others, and those at the bucket's ends, are streamed."""
@@ -210,20 +225,23 @@ def _narrow(least: int, right: bool):
 
 
 def _windows(least: int):
+    """A row for each window that may be found elsewhere; ``ask`` if it isn't known to be."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = xxhash.xxh3_128_intdigest
         for batch in batches:
-            row, out = [], []
-            for k, (p, q, base, data) in enumerate(zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("p", "q", "base", "bytes")))):
+            out = []
+            for th, p, q, base, once, sure, data in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("th", "p", "q", "base", "once", "sure", "bytes"))):
+                known = bytearray(q + 1 - p)
+                for x in sure:
+                    s, e = max(x["s"], p), min(x["e"], q)
+                    if s <= e:
+                        known[s - p : e + 1 - p] = b"\x01" * (e + 1 - s)
                 for w in range(p, q + 1):
                     h = whole(data[w - base : w - base + least])
-                    row.append(k)
-                    out.append((w, _signed(h >> 64), _signed(h & (2**64 - 1))))
+                    out.append((th, once and not known[w - p], w, _signed(h >> 64), _signed(h & (2**64 - 1))))
             if out:
-                w, h1, h2 = zip(*out)
-                at = pa.array(row)
-                keep = [batch.column(batch.schema.get_field_index(c)).take(at) for c in ("th", "once")]
-                yield pa.RecordBatch.from_arrays([*keep, pa.array(w, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())], names=["th", "once", "w", "h1", "h2"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["th", "ask", "w", "h1", "h2"])
 
     return run
 
@@ -275,10 +293,10 @@ def repeated_spans(texts: DataFrame, least: int = LEAST) -> DataFrame:
 
     first = staged(bounded(staged(cut, "edges"), True), "bounded")
     sure = first.select("th", F.explode("sure").alias("x")).select("th", F.struct("x.s", (F.col("x.e") + least).alias("e")).alias("span"))
-    w_schema = T._parse_datatype_string("th bigint, once boolean, w bigint, h1 bigint, h2 bigint")
+    w_schema = T._parse_datatype_string("th bigint, ask boolean, w bigint, h1 bigint, h2 bigint")
     windows = staged(bounded(first.where("p <= q"), False).mapInArrow(_windows(least), w_schema), "windows")
     twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
-    matched = windows.where("once").join(twice, ["h1", "h2"]).select("th", F.struct(F.col("w").alias("s"), (F.col("w") + least).alias("e")).alias("span"))
+    matched = windows.where("ask").join(twice, ["h1", "h2"]).select("th", F.struct(F.col("w").alias("s"), (F.col("w") + least).alias("e")).alias("span"))
     return covered.union(sure).union(matched).groupBy("th").agg(F.collect_set("span").alias("spans"))
 
 

@@ -133,13 +133,18 @@ def disclosive(docs: DataFrame, scanned: DataFrame, support: int = SUPPORT, disc
     lone = scanned.where("near is not null").select("id", "th", F.explode("near").alias("x")).select("id", "th", "x.entity", F.transform("x.terms", lambda t: F.lower(t["value"])).alias("terms"))
     pairs = lone.select("id", "th", "entity", F.explode(F.array_distinct("terms")).alias("term")).groupBy("id", "th", "entity", "term").agg(F.count("*").alias("rows"))
     texts = pairs.groupBy("th", "entity", "term").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(F.count("*").alias("texts"), F.sum("n").alias("n"))
-    candidates = staged(texts.where(F.col("texts") >= support), "pairs")
     entities = lone.select("id", "th", "entity").distinct().groupBy("entity").agg(F.count("*").alias("df_e"))
+    # A term is in as many documents, at least, as have it near an entity. Where that alone makes too many for the
+    # threshold, PMI >= disclosure * IC, the pair needs no count over all texts.
+    near = pairs.select("id", "th", "term").distinct().groupBy("term").agg(F.count("*").alias("least_df"))
+    total = F.lit(float(scanned.count()))
+    candidates = texts.where(F.col("texts") >= support).join(entities, "entity").join(near, "term")
+    candidates = candidates.where(F.log2(total * F.col("n") / (F.col("least_df") * F.col("df_e"))) >= disclosure * F.log2(total / F.col("df_e")))
+    candidates = staged(candidates.select("entity", "term", "n", "df_e"), "pairs")
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(f"`{text_col}`")), F.lit(_TERM), F.lit(0)))).alias("term"))
     wanted = candidates.select("term").distinct()
     terms = words.join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("df_t"))
-    total = F.lit(float(scanned.count()))
-    j = candidates.join(terms, "term").join(entities, "entity")
+    j = candidates.join(terms, "term")
     ic = F.log2(total / F.col("df_e"))
     pmi = F.log2(total * F.col("n") / (F.col("df_t") * F.col("df_e")))
     return j.select("entity", "term", "n", pmi.alias("pmi"), ic.alias("ic")).where((F.col("ic") > 0) & (F.col("pmi") >= disclosure * F.col("ic")))

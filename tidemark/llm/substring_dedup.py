@@ -40,6 +40,8 @@ GRAM = 64
 SMALL = 64
 #: Rows before each one in a large group's order that it is compared with on both sides.
 NEAR = 8
+#: Regions (of some 600 bytes) that a task sorts.
+TASK_REGIONS = 20_000
 _B = 0x9E3779B97F4A7C15 | 1
 _U = np.uint64
 
@@ -268,7 +270,7 @@ def repeated_spans(texts: DataFrame, least: int = LEAST) -> DataFrame:
     schema = T._parse_datatype_string("th bigint, a bigint, p bigint, q bigint, kh bigint, r1 bigint, r2 bigint")
     sampled = staged(texts.select("th", "text").mapInArrow(_sample(least), schema), "suffixes")
     own = F.xxhash64("th", "a")
-    counted = staged(sampled.groupBy("kh", "r1", "r2").agg(F.count("*").alias("n"), F.min(own).alias("rep")), "regions")
+    counted = sampled.groupBy("kh", "r1", "r2").agg(F.count("*").alias("n"), F.min(own).alias("rep"))
     # Leading bytes that several regions share, at least one of which occurs once.
     shared = counted.groupBy("kh").agg(F.count("*").alias("m"), F.min("n").alias("least_n")).where("m > 1 and least_n = 1").select("kh", F.lit(True).alias("edge"))
     known = counted.join(shared, "kh", "left").where("n > 1 or edge").select("kh", "r1", "r2", "n", "rep", "edge")
@@ -286,7 +288,7 @@ def repeated_spans(texts: DataFrame, least: int = LEAST) -> DataFrame:
     def bounded(df: DataFrame, right: bool) -> DataFrame:
         # key: the suffix from a, or the reversed bytes before a
         own_key = F.expr("substring(bytes, cast(a - base + 1 as int), 1 << 30)") if right else F.expr("unhex(reverse(hex(substring(bytes, 1, cast(a - base as int)))))")
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // TASK_REGIONS)))
         ready = df.withColumn("key", own_key)
         ready = ready.repartitionByRange(parts, "kh", "key").sortWithinPartitions("kh", "key")
         return ready.mapInArrow(_narrow(least, right), ready.schema).drop("key")

@@ -136,6 +136,17 @@ def _pairs(rows: list[dict], least: int) -> list[dict]:
     return [r | {"q": r["p"] - 1, "bytes": b"", "key": b""} for r in rows if r["sure"]]
 
 
+def _known(row: dict) -> bytearray:
+    """For each window of the row's range, 1 if it is sure."""
+    p, q = row["p"], row["q"]
+    known = bytearray(q + 1 - p)
+    for x in row["sure"]:
+        s, e = max(x["s"], p), min(x["e"], q)
+        if s <= e:
+            known[s - p : e + 1 - p] = b"\x01" * (e + 1 - s)
+    return known
+
+
 def _narrow(least: int, right: bool):
     """Cuts each region to the windows that its longest common prefix (right) or suffix (left) with a neighbour allows.
 
@@ -149,7 +160,11 @@ def _narrow(least: int, right: bool):
                 row["q"] = min(row["q"], row["a"] + common - least)
             else:
                 row["p"] = max(row["p"], row["a"] - common)
-        return [row] if row["p"] <= row["q"] else []
+        if row["p"] > row["q"]:
+            return []
+        if not right and row["once"] and (ask := [i for i, known in enumerate(_known(row)) if not known]):
+            row["low"], row["high"] = row["p"] + ask[0] - row["a"], row["p"] + ask[-1] - row["a"]
+        return [row]
 
     def stream(rows: Iterator[dict]) -> Iterator[dict]:
         """The nearest neighbours bound each row; what the last NEAR rows share with it on both sides is sure."""
@@ -233,15 +248,11 @@ def _windows(least: int):
         whole = xxhash.xxh3_128_intdigest
         for batch in batches:
             out = []
-            for th, p, q, base, once, sure, data in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("th", "p", "q", "base", "once", "sure", "bytes"))):
-                known = bytearray(q + 1 - p)
-                for x in sure:
-                    s, e = max(x["s"], p), min(x["e"], q)
-                    if s <= e:
-                        known[s - p : e + 1 - p] = b"\x01" * (e + 1 - s)
-                for w in range(p, q + 1):
+            for row in batch.to_pylist():
+                known, data, base = _known(row), row["bytes"], row["base"]
+                for w in range(max(row["p"], row["a"] + row["from"]), min(row["q"], row["a"] + row["to"]) + 1):
                     h = whole(data[w - base : w - base + least])
-                    out.append((th, once and not known[w - p], w, _signed(h >> 64), _signed(h & (2**64 - 1))))
+                    out.append((row["th"], row["once"] and not known[w - row["p"]], w, _signed(h >> 64), _signed(h & (2**64 - 1))))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["th", "ask", "w", "h1", "h2"])
 
@@ -290,13 +301,18 @@ def repeated_spans(texts: DataFrame, least: int = LEAST) -> DataFrame:
         own_key = F.expr("substring(bytes, cast(a - base + 1 as int), 1 << 30)") if right else F.expr("unhex(reverse(hex(substring(bytes, 1, cast(a - base as int)))))")
         parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // TASK_REGIONS)))
         ready = df.withColumn("key", own_key)
+        if not right:
+            ready = ready.withColumns({"low": F.lit(None).cast("bigint"), "high": F.lit(None).cast("bigint")})
         ready = ready.repartitionByRange(parts, "kh", "key").sortWithinPartitions("kh", "key")
         return ready.mapInArrow(_narrow(least, right), ready.schema).drop("key")
 
     first = staged(bounded(staged(cut, "edges"), True), "bounded")
     sure = first.select("th", F.explode("sure").alias("x")).select("th", F.struct("x.s", (F.col("x.e") + least).alias("e")).alias("span"))
     w_schema = T._parse_datatype_string("th bigint, ask boolean, w bigint, h1 bigint, h2 bigint")
-    windows = staged(bounded(first.where("p <= q"), False).mapInArrow(_windows(least), w_schema), "windows")
+    # Of a group, only the windows at places where some region has one that isn't sure are hashed.
+    second = staged(bounded(first.where("p <= q"), False), "bounded")
+    places = second.where("low is not null").groupBy("kh").agg(F.min("low").alias("from"), F.max("high").alias("to"))
+    windows = staged(second.join(places, "kh").mapInArrow(_windows(least), w_schema), "windows")
     twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
     matched = windows.where("ask").join(twice, ["h1", "h2"]).select("th", F.struct(F.col("w").alias("s"), (F.col("w") + least).alias("e")).alias("span"))
     return covered.union(sure).union(matched).groupBy("th").agg(F.collect_set("span").alias("spans"))

@@ -130,6 +130,21 @@ def test_suffix_dedup_edges(spark, frame, seed):
         assert hashlib.sha256(r["kept"]).hexdigest() == r["kept_sha256"]
 
 
+@pytest.mark.parametrize("task_regions", [7, 20_000])
+def test_suffix_dedup_large_groups(spark, frame, task_regions):
+    """A passage that more than SMALL documents share in different surroundings, and near copies of one document."""
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, model = text(470), text(1500)
+    rows = [(i, text(rng.randint(0, 300)) + passage[rng.randint(0, 60) :][: rng.randint(380, 470)] + text(rng.randint(0, 300))) for i in range(130)]
+    for i in range(130):
+        at = rng.randint(0, 1499)
+        rows.append((1000 + i, model[:at] + rng.choice("XYZ") + model[at + 1 :]))
+    rows += [(2000 + i, text(rng.randint(0, 200)) + passage) for i in range(3)] + [(3000, text(900)), (3001, model)]
+    got = rows_of(substring_dedup.deduplicate(frame(rows), task_regions=task_regions), "doc_id", "n_bytes", "n_removed", F.size("spans"), "kept_sha256")
+    assert got == brute.repeated(rows)
+
+
 # Top-k
 
 

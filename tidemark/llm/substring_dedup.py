@@ -12,8 +12,8 @@ A sorted array of all suffixes would take 16 bytes and more for each byte of tex
    their suffixes by leading bytes and buckets are sorted. Small groups of equal leading bytes are compared pair by
    pair. In larger ones, neighbours give each suffix its longest common prefix, the same over reversed bytes gives
    the longest common part on the left; what a suffix shares with those next to it is sure, and the windows that remain
-   possible between both bounds are matched exactly, by 128-bit hash. A group that a bucket's end may cut counts as large, and the suffixes at the ends keep their whole
-   range.
+   possible between both bounds are matched exactly, by 128-bit hash. A group that a bucket's end may cut counts as
+   large; the suffixes at the ends are compared with those of the next bucket.
 
 Cases: null text is empty bytes; texts shorter than ``least`` keep all; repeated rows are repeats of each other and
 return once each; a null id is kept; an empty table gives an empty result; other columns are ignored.
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -136,6 +137,35 @@ def _pairs(rows: list[dict], least: int) -> list[dict]:
     return [r | {"q": r["p"] - 1, "bytes": b"", "key": b""} for r in rows if r["sure"]]
 
 
+def _across(found: DataFrame, least: int, right: bool) -> DataFrame:
+    """Compares the last row of each bucket with the first of the next, and cuts both to what that allows.
+
+    Two rows a bucket come to the driver.
+    """
+    ends = sorted(found.where("end is not null").select("part", "end", "kh", "th", "a", "inner", "key").collect(), key=lambda r: r["part"])
+    bound = {(r["kh"], r["th"], r["a"]): r["inner"] for r in ends}
+    last = None
+    for r in sorted(ends, key=lambda r: (r["part"], "f" not in r["end"])):
+        if "f" in r["end"] and last is not None and last["kh"] == r["kh"]:
+            common = _common(last["key"], r["key"])
+            for x in (last, r):
+                at = (x["kh"], x["th"], x["a"])
+                bound[at] = max(bound[at], common)
+        if "l" in r["end"]:
+            last = r
+    fixes = found.sparkSession.createDataFrame([(*k, v) for k, v in bound.items()], "kh bigint, th bigint, a bigint, bound bigint")
+    j = found.join(F.broadcast(fixes), ["kh", "th", "a"], "left")
+    known = F.col("bound").isNotNull()
+    if right:
+        j = j.withColumn("q", F.when(known, F.least("q", F.col("a") + F.col("bound") - least)).otherwise(F.col("q")))
+    else:
+        j = j.withColumn("p", F.when(known, F.greatest("p", F.col("a") - F.col("bound"))).otherwise(F.col("p")))
+        j = j.withColumn("low", F.when(known & F.col("low").isNotNull(), F.greatest("low", F.col("p") - F.col("a"))).otherwise(F.col("low")))
+        j = j.withColumn("low", F.when(F.col("low") <= F.col("high"), F.col("low")))
+        j = j.where("p <= q")
+    return j.drop("bound", "part", "end", "inner", "key")
+
+
 def _known(row: dict) -> bytearray:
     """For each window of the row's range, 1 if it is sure."""
     p, q = row["p"], row["q"]
@@ -154,41 +184,51 @@ def _narrow(least: int, right: bool):
     right, groups of up to ``SMALL`` regions that lie within the bucket are settled at once, pair by pair.
     """
 
-    def settle(row: dict, common: int | None) -> list[dict]:
-        if common is not None:
+    def settle(row: dict, common: int, end: str = "") -> Iterator[dict]:
+        """``end``: f or l, if it is the bucket's first or last row and lacks a neighbour; such rows wait for ``_across``."""
+        if end:
+            row["end"], row["inner"], row["part"] = end, common, TaskContext.get().partitionId()
+        else:
+            row["key"] = b""
             if right:
                 row["q"] = min(row["q"], row["a"] + common - least)
             else:
                 row["p"] = max(row["p"], row["a"] - common)
         if row["p"] > row["q"]:
-            return []
+            return
         if not right and row["once"] and (ask := [i for i, known in enumerate(_known(row)) if not known]):
             row["low"], row["high"] = row["p"] + ask[0] - row["a"], row["p"] + ask[-1] - row["a"]
-        return [row]
+        yield row
 
-    def stream(rows: Iterator[dict]) -> Iterator[dict]:
+    def stream(rows: Iterator[dict], opens: bool = True, goes_on=lambda: False) -> Iterator[dict]:
         """The nearest neighbours bound each row; what the last NEAR rows share with it on both sides is sure."""
-        held: deque = deque()  # (row, bytes before a, common part with the row before; None at the bucket's start)
+        held: deque = deque()  # (row, its key, bytes before a, common part with the row before)
+        first_of_all = opens
         for row in rows:
-            side = row["bytes"][: row["a"] - row["base"]][::-1]
-            before = 0 if held else None
-            for other, other_side, _ in held if right else list(held)[-1:]:
+            key, side = row["key"], row["bytes"][: row["a"] - row["base"]][::-1]
+            before = 0
+            for other, other_key, other_side, _ in held if right else list(held)[-1:]:
                 if other["kh"] != row["kh"]:
                     continue
-                common = _common(other["key"], row["key"])
+                common = _common(other_key, key)
                 if other is held[-1][0]:
                     before = common
                 if right and (other["once"] or row["once"]) and common + (left := _common(other_side, side)) >= least:
                     for r in (other, row):
                         if r["once"]:
                             r["sure"].append((r["a"] - left, r["a"] + common - least))
-            held.append((row, side, before))
+            held.append((row, key, side, before))
             if len(held) > NEAR:
-                first, _, common = held.popleft()
-                yield from settle(first, None if common is None else max(common, held[0][2]))
+                first, _, _, common = held.popleft()
+                yield from settle(first, max(common, held[0][3]), "f" if first_of_all else "")
+                first_of_all = False
         while held:
-            first, _, common = held.popleft()
-            yield from settle(first, None if common is None or not held else max(common, held[0][2]))
+            first, _, _, common = held.popleft()
+            end = "f" if first_of_all else ""
+            if not held and not goes_on():
+                end += "l"
+            yield from settle(first, max(common, held[0][3]) if held else common, end)
+            first_of_all = False
 
     def groups(rows: Iterator[dict]) -> Iterator[dict]:
         """Small groups are settled; the others, and those at the bucket's ends, are streamed."""
@@ -214,9 +254,9 @@ def _narrow(least: int, right: bool):
                 if len(group) > SMALL:
                     break
             if len(group) > SMALL:
-                yield from stream(of(kh, group))
+                yield from stream(of(kh, group), lead, lambda: ahead is not None)
             elif lead or ahead is None:
-                yield from stream(iter(group))
+                yield from stream(iter(group), lead, lambda: ahead is not None)
             else:
                 yield from _pairs(group, least)
             lead = False
@@ -274,7 +314,7 @@ def cut_out(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tupl
     return b"".join([*kept, data[at:]]), [(a, b) for a, b in merged]
 
 
-def repeated_spans(texts: DataFrame, least: int = LEAST) -> DataFrame:
+def repeated_spans(texts: DataFrame, least: int = LEAST, task_regions: int = TASK_REGIONS) -> DataFrame:
     """(th, spans ARRAY of STRUCT<s, e>) of what is repeated in ``texts`` (th, text); equal texts share their 64-bit hash th."""
     spark = texts.sparkSession
     texts = texts.where(F.octet_length("text") >= least)
@@ -299,18 +339,18 @@ def repeated_spans(texts: DataFrame, least: int = LEAST) -> DataFrame:
     def bounded(df: DataFrame, right: bool) -> DataFrame:
         # key: the suffix from a, or the reversed bytes before a
         own_key = F.expr("substring(bytes, cast(a - base + 1 as int), 1 << 30)") if right else F.expr("unhex(reverse(hex(substring(bytes, 1, cast(a - base as int)))))")
-        parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // TASK_REGIONS)))
-        ready = df.withColumn("key", own_key)
+        parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // task_regions)))
+        ready = df.withColumns({"key": own_key, "part": F.lit(None).cast("int"), "end": F.lit(None).cast("string"), "inner": F.lit(None).cast("bigint")})
         if not right:
             ready = ready.withColumns({"low": F.lit(None).cast("bigint"), "high": F.lit(None).cast("bigint")})
         ready = ready.repartitionByRange(parts, "kh", "key").sortWithinPartitions("kh", "key")
-        return ready.mapInArrow(_narrow(least, right), ready.schema).drop("key")
+        return _across(staged(ready.mapInArrow(_narrow(least, right), ready.schema), "bounded"), least, right)
 
-    first = staged(bounded(staged(cut, "edges"), True), "bounded")
+    first = bounded(staged(cut, "edges"), True)
     sure = first.select("th", F.explode("sure").alias("x")).select("th", F.struct("x.s", (F.col("x.e") + least).alias("e")).alias("span"))
     w_schema = T._parse_datatype_string("th bigint, ask boolean, w bigint, h1 bigint, h2 bigint")
     # Of a group, only the windows at places where some region has one that isn't sure are hashed.
-    second = staged(bounded(first.where("p <= q"), False), "bounded")
+    second = bounded(first.where("p <= q"), False)
     places = second.where("low is not null").groupBy("kh").agg(F.min("low").alias("from"), F.max("high").alias("to"))
     windows = staged(second.join(places, "kh").mapInArrow(_windows(least), w_schema), "windows")
     twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
@@ -318,14 +358,14 @@ def repeated_spans(texts: DataFrame, least: int = LEAST) -> DataFrame:
     return covered.union(sure).union(matched).groupBy("th").agg(F.collect_set("span").alias("spans"))
 
 
-def deduplicate(docs: DataFrame, least: int = LEAST, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicate(docs: DataFrame, least: int = LEAST, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text", task_regions: int = TASK_REGIONS) -> DataFrame:
     """(id, n_bytes, n_removed, spans ARRAY of STRUCT<s, e>, kept_sha256[, kept BINARY]): a row for each row of ``docs``.
 
     Only texts that may have spans are shuffled to them; the others are passed on where they are read.
     """
     light = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     keyed = light.select("id", F.xxhash64("text").alias("th"), "text")
-    spans = staged(repeated_spans(keyed, least), "spans")
+    spans = staged(repeated_spans(keyed, least, task_regions), "spans")
     schema = T._parse_datatype_string(f"id {type_of(light, 'id')}, n_bytes bigint, n_removed bigint, spans array<struct<s:bigint,e:bigint>>, kept_sha256 string" + ", kept binary" * with_text)
     from pyspark.sql.pandas.types import to_arrow_schema
 

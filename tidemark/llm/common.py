@@ -17,13 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a local one is set only where the session names none (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found
-    own = os.path.join(tempfile.gettempdir(), "tidemark-scratch")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    """The folder all executors share; a local one only where the session names none (tests)."""
+    return spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "tidemark-scratch")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

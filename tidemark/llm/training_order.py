@@ -120,7 +120,7 @@ def tokenised(docs: DataFrame, vocabulary: bytes, pattern: str, end: int, length
 def training_order(
     docs: DataFrame, vocabulary: bytes, pattern: str, end: int, length: int = LENGTH, shard_sequences: int = SHARD_SEQUENCES, key: int = KEY, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, seq, n_tokens, slot, shard, byte_offset, record BINARY), each shard whole in one partition and in slot order."""
+    """(id, seq, n_tokens, slot, shard, byte_offset, record BINARY): range partitions of whole shards, in slot order."""
     spark: SparkSession = docs.sparkSession
     path = f"{shared_dir(spark)}/tidemark-sequences-{uuid.uuid4().hex}"
     made = tokenised(docs, vocabulary, pattern, end, length, id_col, text_col)
@@ -139,9 +139,11 @@ def training_order(
         return pd.Series(permuted(number.to_numpy(np.int64), n, key))
 
     placed = made.join(F.broadcast(starts_df), "part").withColumn("slot", slot_of(F.col("start") + F.col("at")))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Range partitions whose splitters are shard ends: partition p holds shards in order, and before those of p + 1.
+    shards = max(1, -(-n // shard_sequences))
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), shards)
     placed = placed.select("id", "seq", "n_tokens", "slot", F.expr(f"slot div {shard_sequences}").alias("shard"), "tokens")
-    placed = placed.repartition(parts, "shard").sortWithinPartitions("slot")
+    placed = placed.repartitionById(parts, F.expr(f"cast(shard * {parts} div {shards} as int)")).sortWithinPartitions("slot")
     fill = F.lit(int(end).to_bytes(2, "little"))
     return placed.select(
         F.col("id").alias(id_col), "seq", "n_tokens", "slot", "shard", (F.col("slot") % shard_sequences * (2 * length)).alias("byte_offset"), F.rpad("tokens", F.lit(2 * length), fill).alias("record")

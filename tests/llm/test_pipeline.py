@@ -1,3 +1,4 @@
+import random
 from collections import Counter, defaultdict
 
 import brute
@@ -56,13 +57,47 @@ def test_near_dedup_stage(kept):
     close = {p: n / len(sets[p[0]] | sets[p[1]]) for p, n in shared.items()}
     exact = [p for p, j in close.items() if before[p[0]].lower().split() == before[p[1]].lower().split()]
     assert all(not (a in after and b in after) for a, b in exact)
-    near = [p for p, j in close.items() if j >= 0.85]
-    assert sum(not (a in after and b in after) for a, b in near) >= 0.9 * len(near)
-    alike = {d for p, j in close.items() if j >= 0.6 for d in p}
+    near = [p for p, j in close.items() if j >= 0.8]
+    assert near and not any(a in after and b in after for a, b in near)
+    alike = {d for p in near for d in p}
     assert all(d in after for d in before if d not in alike)
     assert all(any(x in after for x in (d, *(y for p in close if d in p for y in p))) for d in before)
 
 
+@pytest.mark.parametrize("unit_rows", [16, simhash.UNIT_ROWS])
+def test_similar_groups_match_brute_force(spark, unit_rows):
+    """Similarities on both sides of 0.8, in groups below and above a unit's rows."""
+    rng, rows = random.Random(7), [(0, None), (1, ""), (2, "one two"), (3, "one two")]
+    for base in range(30):
+        words = [f"b{base}w{i}" for i in range(150)]
+        for change in (0, 1, 2, 3, 4, 5, 6)[: 2 + base % 6]:
+            new = list(words)
+            for at in rng.sample(range(150), change):
+                new[at] = f"x{rng.random()}"
+            rows.append((len(rows), " ".join(new)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["group"] for r in simhash.similar_groups(df, unit_rows=unit_rows).collect()}
+    sets, up = [shingles(t or "") if t else set() for _, t in rows], list(range(len(rows)))
+
+    def top(x):
+        return x if up[x] == x else top(up[x])
+
+    close = 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            same = len(a & b)
+            close += 0.7 <= same / max(1, len(a | b)) <= 0.9
+            if a == b or same >= 0.8 * len(a | b):
+                up[top(i)] = top(j)
+    assert close > 50
+    want = [[top(i) == top(j) for j in range(len(rows))] for i in range(len(rows))]
+    assert [[got[i] == got[j] for j in range(len(rows))] for i in range(len(rows))] == want
+
+
+def test_similar_groups_of_nothing(spark):
+    assert simhash.similar_groups(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
 def test_decontamination_stage(spark, kept):
     items = [(r["item_id"], r["text"]) for r in table(spark, SF, "benchmark").collect()]
     before, after = texts(kept[1]), texts(kept[2])

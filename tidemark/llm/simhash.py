@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, row_keys, staged, type_of
+from tidemark.llm.common import map_rows, maybe_members, row_keys, staged, type_of
 
 #: Rows of one key that a task compares; a key with more is cut into chunks and each pair of chunks is a unit.
 UNIT_ROWS = 4096
@@ -68,41 +68,52 @@ def _block_keys(distance: int):
     return keys
 
 
-def _forest(key: np.ndarray, node: np.ndarray, fp: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links that span each key's components; rows come sorted by key. fp: a row of 64-bit words for each node."""
+def _forest(key: np.ndarray, node: np.ndarray, fp: np.ndarray, distance: int, loose: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """(a, b, sure): links within ``distance`` that span each key's components are sure; pairs of different components
+    within ``loose`` are not. Rows come sorted by key. fp: a row of 64-bit words for each node.
+    """
 
-    def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) <= distance
+    def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
 
     start = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1))
     size = np.diff(np.concatenate((start, [len(key)])))
     few = np.repeat(size <= 8, size)
     for d in range(1, min(8, len(key))):
         at = np.flatnonzero(few[d:] & (key[d:] == key[:-d]))
-        at = at[near(fp[at], fp[at + d])]
-        if len(at):
-            yield node[at], node[at + d]
+        bits = apart(fp[at], fp[at + d])
+        for sure, hit in ((True, at[bits <= distance]), (False, at[(bits > distance) & (bits <= loose)])):
+            if len(hit):
+                yield node[hit], node[hit + d], sure
     for s, n in zip(start[size > 8].tolist(), size[size > 8].tolist()):
         rest = np.arange(s, s + n)
         while len(rest) > 1:
             seed, rest = rest[0], rest[1:]
-            front = [seed]
+            front, open_ = [seed], []
             while front and len(rest):
-                hit = near(fp[rest], fp[front.pop()])
+                x = front.pop()
+                bits = apart(fp[rest], fp[x])
+                hit = bits <= distance
+                if loose > distance:
+                    open_.append((x, rest[~hit & (bits <= loose)]))
                 if hit.any():
                     found, rest = rest[hit], rest[~hit]
-                    yield np.full(len(found), node[seed]), node[found]
+                    yield np.full(len(found), node[seed]), node[found], True
                     front.extend(found.tolist())
+            for x, others in open_:
+                others = others[np.isin(others, rest, assume_unique=True)] if len(others) else others
+                if len(others):
+                    yield np.full(len(others), node[x]), node[others], False
 
 
-def _links_of_units(distance: int, words: int):
+def _links_of_units(distance: int, loose: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.empty((0, 4 + words), np.int64)  # key, c1, c2, node, fingerprint
 
         def done(x: np.ndarray) -> Iterator[pa.RecordBatch]:
             unit = np.concatenate(([0], np.cumsum((x[1:, :3] != x[:-1, :3]).any(axis=1))))
-            for a, b in _forest(unit, x[:, 3], x[:, 4:].view(np.uint64), distance):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            for a, b, sure in _forest(unit, x[:, 3], x[:, 4:].view(np.uint64), distance, loose):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), sure))], names=["a", "b", "sure"])
 
         for batch in batches:
             got = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
@@ -120,8 +131,8 @@ def _links_of_units(distance: int, words: int):
     return run
 
 
-def _links(keyed: DataFrame, words: list[str], distance: int, unit_rows: int) -> DataFrame:
-    """``keyed``: (key, node, fingerprint words). Links between nodes that span every key's components."""
+def _links(keyed: DataFrame, words: list[str], distance: int, unit_rows: int, loose: int | None = None) -> DataFrame:
+    """``keyed``: (key, node, fingerprint words). (a, b, sure): see ``_forest``."""
     spark = keyed.sparkSession
     hot = staged(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > unit_rows), "hot-keys")
     zero = F.lit(0).cast("bigint")
@@ -138,14 +149,14 @@ def _links(keyed: DataFrame, words: list[str], distance: int, unit_rows: int) ->
         )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = units.repartition(parts, "key", "c1", "c2").sortWithinPartitions("key", "c1", "c2", "node")
-    found = dealt.mapInArrow(_links_of_units(distance, len(words)), "a bigint, b bigint")
-    return found.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found = dealt.mapInArrow(_links_of_units(distance, distance if loose is None else loose, len(words)), "a bigint, b bigint, sure boolean")
+    return found.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sure").distinct()
 
 
 def links(fps: DataFrame, distance: int = 4, unit_rows: int = UNIT_ROWS) -> DataFrame:
     """(a, b): verified links between distinct fingerprints that span every component."""
     keyed = fps.select(F.col("fp").alias("node"), "fp", F.explode(F.array(*_block_keys(distance))).alias("key"))
-    return _links(keyed, ["fp"], distance, unit_rows)
+    return _links(keyed, ["fp"], distance, unit_rows).select("a", "b")
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -183,48 +194,81 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col
     return marked.join(classes, "fp").select(id_col, "fp", "group", "component_id")
 
 
-#: Bits of the wide fingerprints, and of the blocks that make the join keys.
-WIDE_WORDS = 4
+#: 64-bit words of the wide fingerprints of words and of shingles, and bits of the blocks that make the join keys.
+WIDE_WORDS, WIDE_SHINGLES = 8, 4
 WIDE_BLOCK = 21
+#: Standard deviations of the distance at the threshold within which a pair's shingles are compared themselves.
+UNSURE = 3.2
 
 
-def _wide(digests: set[bytes]) -> list[int]:
-    """Majority bits of 256-bit hashes, as signed 64-bit words; the second half of each hash is mixed from the first."""
+def _wide(digests: set[bytes], size: int) -> list[int]:
+    """Majority bits of hashes of ``size`` 64-bit words, signed; those after the first two are mixed from the ones before."""
     if not digests:
-        return [0] * WIDE_WORDS
+        return [0] * size
     two = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)
-    ones = np.zeros(64 * WIDE_WORDS, np.int64)
+    ones = np.zeros(64 * size, np.int64)
     for at in range(0, len(two), _PART):
-        part = two[at : at + _PART]
-        more = (part ^ (part >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        more ^= more >> np.uint64(32)
-        four = np.ascontiguousarray(np.concatenate((part, more), axis=1)).view(np.uint8)
-        ones += np.unpackbits(four, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        parts = [two[at : at + _PART]]
+        while len(parts) * 2 < size:
+            more = (parts[-1] ^ (parts[-1] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            parts.append(more ^ (more >> np.uint64(32)))
+        bits = np.ascontiguousarray(np.concatenate(parts, axis=1)).view(np.uint8)
+        ones += np.unpackbits(bits, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return np.packbits(ones * 2 > len(two), bitorder="little").view("<i8").tolist()
 
 
+def _shingles(words: list[bytes], shingle: int) -> set[bytes]:
+    digest = xxhash.xxh3_128_digest
+    return {digest(b" ".join(words[i : i + shingle])) for i in range(max(1, len(words) - shingle + 1))} if words else set()
+
+
+def _words(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
 def wide_fingerprints(text: str | None, shingle: int) -> list[int]:
     """Of the distinct words, then of the distinct shingles."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    digest = xxhash.xxh3_128_digest
-    grams = {digest(b" ".join(words[i : i + shingle])) for i in range(max(1, len(words) - shingle + 1))} if words else set()
-    return _wide({digest(w) for w in set(words)}) + _wide(grams)
+    words = _words(text)
+    return _wide({xxhash.xxh3_128_digest(w) for w in set(words)}, WIDE_WORDS) + _wide(_shingles(words, shingle), WIDE_SHINGLES)
 
 
-def wide_distance(similarity: float) -> int:
-    """Bits that differ, on average, between the fingerprints of two equally large shingle sets of this Jaccard similarity."""
-    return int(64 * WIDE_WORDS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+def wide_distances(similarity: float) -> tuple[int, int]:
+    """Bits within which a pair surely has, and beyond which it surely lacks, this Jaccard similarity of its shingles.
 
+    Fingerprints of equally large sets differ in a binomial number of bits; the bounds lie ``UNSURE`` deviations off its mean.
+    """
+    bits, p = 64 * WIDE_SHINGLES, math.acos(2 * similarity / (1 + similarity)) / math.pi
+    off = UNSURE * math.sqrt(bits * p * (1 - p))
+    return max(0, int(bits * p - off)), math.ceil(bits * p + off)
+
+
+def _verified(pairs: DataFrame, marked: DataFrame, docs: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """The rows (a, b) of ``pairs`` whose nodes' texts have ``similarity`` or more, by their shingle sets themselves."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    reps = marked.join(ends, "node", "left_semi").groupBy("node").agg(F.min(f"`{id_col}`").alias("i"))
+    reps = staged(reps.select("node", "i", F.xxhash64("i").alias("k")), "unsure-nodes")
+    texts = docs.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"), F.xxhash64(f"`{id_col}`").alias("k"))
+    # Only texts that may be asked for are shuffled.
+    texts = maybe_members(texts, "k", reps).join(reps.select("node", F.col("i").alias("i2")), F.col("i") == F.col("i2")).select("node", "t")
+    sets = map_rows(texts, ["node", "t"], "node bigint, g array<bigint>", lambda n, t: [(n, np.frombuffer(b"".join(_shingles(_words(t), shingle)), "<i8")[::2])])
+    sets = staged(sets.dropDuplicates(["node"]), "unsure-shingles")
+    j = pairs.join(sets.select(F.col("node").alias("a"), F.col("g").alias("ga")), "a").join(sets.select(F.col("node").alias("b"), F.col("g").alias("gb")), "b")
+    both = F.size(F.array_intersect("ga", "gb"))
+    return j.where(both * (1 + similarity) >= (F.size("ga") + F.size("gb")) * similarity - 1e-9).select("a", "b")
 
-def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", unit_rows: int = UNIT_ROWS) -> DataFrame:
-    """(id, group): documents whose shingle sets have an estimated Jaccard similarity of ``similarity`` or more are linked.
 
-    A 64-bit fingerprint within 4 bits only holds near-identical shingle sets; here the fingerprints have 256 bits. Those
-    of the words, which differ in a few bits between near copies, are cut into blocks of 21 bits that are joined on;
-    those of the shingles are compared by Hamming distance. Blocks are certain to meet for word fingerprints that
-    differ in fewer bits than there are blocks, and likely to (0.95 at 18 bits) beyond.
+def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", unit_rows: int = UNIT_ROWS) -> DataFrame:
+    """(id, group): documents whose shingle sets have a Jaccard similarity of ``similarity`` or more are linked.
+
+    A 64-bit fingerprint within 4 bits only holds near-identical shingle sets; here fingerprints are wide. Those of the
+    words (512 bits), which differ in a few bits between near copies, are cut into blocks of 21 bits that are joined on;
+    those of the shingles (256 bits) are compared by Hamming distance. A distance that leaves the similarity open sends
+    the pair on, unless sure links already connect it, and the shingle sets decide. Blocks are certain to meet for word
+    fingerprints that differ in fewer bits than there are blocks, and likely to (0.99 at 40 bits) beyond. Ids must be
+    unique and not null; texts without words are one group.
     """
-    names = [f"{side}{i}" for side in "uv" for i in range(WIDE_WORDS)]
+    own = [f"v{i}" for i in range(WIDE_SHINGLES)]
+    names = [*(f"u{i}" for i in range(WIDE_WORDS)), *own]
     schema = f"`{id_col}` {type_of(docs, id_col)}, " + ", ".join(f"{n} bigint" for n in names)
     marked = map_rows(docs, [id_col, text_col], schema, lambda i, t: [(i, *wide_fingerprints(t, shingle))])
     marked = staged(marked.withColumn("node", F.xxhash64(*names)), "wide-fingerprints")
@@ -237,11 +281,19 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, i
         if off + WIDE_BLOCK > 64:
             block = block.bitwiseOR(F.shiftleft(f"u{i + 1}", 64 - off))
         keys.append(F.lit(n << WIDE_BLOCK).cast("bigint") + block.bitwiseAND(F.lit(mask).cast("bigint")))
-    own = names[WIDE_WORDS:]
     keyed = staged(nodes, "wide-nodes").select("node", *own, F.explode(F.array(*keys)).alias("key"))
-    roots = connected(_links(keyed, own, wide_distance(similarity), unit_rows))
+    sure, loose = wide_distances(similarity)
+    found = staged(_links(keyed, own, sure, unit_rows, loose), "wide-links")
+    roots = staged(connected(found.where("sure").select("a", "b")), "sure-groups")
+    of_a, of_b = (roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
+    root_a, root_b = F.coalesce("root_a", "a"), F.coalesce("root_b", "b")
+    open_ = found.where("not sure").join(of_a, "a", "left").join(of_b, "b", "left").where(root_a != root_b)
+    open_ = staged(open_.select("a", "b", root_a.alias("root_a"), root_b.alias("root_b")), "unsure-links")
+    yes = open_.join(_verified(open_.select("a", "b"), marked, docs, shingle, similarity, id_col, text_col), ["a", "b"])
+    more = connected(yes.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))).select(F.col("node").alias("n3"), F.col("root").alias("root3"))
     out = marked.select(id_col, "node").join(roots.withColumnRenamed("node", "n2"), F.col("node") == F.col("n2"), "left")
-    return out.select(id_col, F.coalesce("root", "node").alias("group"))
+    out = out.select(id_col, F.coalesce("root", "node").alias("g")).join(more, F.col("g") == F.col("n3"), "left")
+    return out.select(id_col, F.coalesce("root3", "g").alias("group"))
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

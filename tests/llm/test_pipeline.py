@@ -94,6 +94,22 @@ def test_similar_groups_match_brute_force(spark, unit_rows):
     assert [[got[i] == got[j] for j in range(len(rows))] for i in range(len(rows))] == want
 
 
+def test_contiguous_edits_meet(spark):
+    """Cut, appended, replaced and swapped passages at a similarity of 0.8 and little more; words from a common vocabulary."""
+    rng, rows, pairs = random.Random(11), [], []
+    for _ in range(40):
+        w = [f"w{rng.randrange(3000)}" for _ in range(250)]
+        new = [f"n{rng.random()}" for _ in range(54)]
+        for other in (w, w[:205], w + new, w[:228] + new[:22], w[80:160] + w[:80] + w[160:]):
+            rows.append((len(rows), " ".join(other)))
+            a, b = shingles(" ".join(w)), shingles(rows[-1][1])
+            if other is not w and len(a & b) >= 0.8 * len(a | b):
+                pairs.append((len(rows) - 1 - (len(rows) - 1) % 5, len(rows) - 1))
+    group = {r["doc_id"]: r["group"] for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert len(pairs) >= 150 and all(group[a] == group[b] for a, b in pairs)
+    assert len(set(group.values())) == 40
+
+
 def test_similar_groups_of_nothing(spark):
     assert simhash.similar_groups(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 

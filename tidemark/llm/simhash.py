@@ -12,13 +12,13 @@ smallest id unless all ids there are null; an empty table gives an empty result;
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from itertools import combinations
+from collections.abc import Callable, Iterator
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_rows, maybe_members, row_keys, staged, type_of
@@ -68,51 +68,71 @@ def _block_keys(distance: int):
     return keys
 
 
-def _forest(key: np.ndarray, node: np.ndarray, fp: np.ndarray, distance: int, loose: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """(a, b, sure): links within ``distance`` that span each key's components are sure; pairs of different components
-    within ``loose`` are not. Rows come sorted by key. fp: a row of 64-bit words for each node.
-    """
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
 
-    def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
 
+def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and size of each run of equal keys."""
     start = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1))
-    size = np.diff(np.concatenate((start, [len(key)])))
+    return start, np.diff(np.concatenate((start, [len(key)])))
+
+
+def _forest(key: np.ndarray, node: np.ndarray, fp: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """(a, b, True): links within ``distance`` that span each key's components. Rows come sorted by key.
+
+    fp: a row of 64-bit words for each node.
+    """
+    start, size = _runs(key)
     few = np.repeat(size <= 8, size)
     for d in range(1, min(8, len(key))):
         at = np.flatnonzero(few[d:] & (key[d:] == key[:-d]))
-        bits = apart(fp[at], fp[at + d])
-        for sure, hit in ((True, at[bits <= distance]), (False, at[(bits > distance) & (bits <= loose)])):
-            if len(hit):
-                yield node[hit], node[hit + d], sure
+        hit = at[_apart(fp[at], fp[at + d]) <= distance]
+        if len(hit):
+            yield node[hit], node[hit + d], True
     for s, n in zip(start[size > 8].tolist(), size[size > 8].tolist()):
         rest = np.arange(s, s + n)
         while len(rest) > 1:
             seed, rest = rest[0], rest[1:]
-            front, open_ = [seed], []
+            front = [seed]
             while front and len(rest):
-                x = front.pop()
-                bits = apart(fp[rest], fp[x])
-                hit = bits <= distance
-                if loose > distance:
-                    open_.append((x, rest[~hit & (bits <= loose)]))
+                hit = _apart(fp[rest], fp[front.pop()]) <= distance
                 if hit.any():
                     found, rest = rest[hit], rest[~hit]
                     yield np.full(len(found), node[seed]), node[found], True
                     front.extend(found.tolist())
-            for x, others in open_:
-                others = others[np.isin(others, rest, assume_unique=True)] if len(others) else others
-                if len(others):
-                    yield np.full(len(others), node[x]), node[others], False
 
 
-def _links_of_units(distance: int, loose: int, words: int):
+def _nearest(key: np.ndarray, node: np.ndarray, fp: np.ndarray, distance: int, loose: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """(a, b, False): for each row the two nearest of its key beyond ``distance``, where they are within ``loose``."""
+    for s, n in zip(*(x.tolist() for x in _runs(key))):
+        for i in range(s, s + n if n > 1 else s):
+            bits = _apart(fp[s : s + n], fp[i])
+            bits[bits <= distance] = loose + 1
+            near = np.argpartition(bits, 1)[:2]
+            near = near[bits[near] <= loose]
+            if len(near):
+                yield np.full(len(near), node[i]), node[s + near], False
+
+
+def _between(key: np.ndarray, node: np.ndarray, root: np.ndarray, fp: np.ndarray, loose: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """(a, b, False): all pairs of a key within ``loose`` whose roots differ."""
+    for s, n in zip(*(x.tolist() for x in _runs(key))):
+        roots = root[s : s + n]
+        for i in range(n - 1 if n > 1 and (roots != roots[0]).any() else 0):
+            rest = s + i + 1 + np.flatnonzero(roots[i + 1 :] != roots[i])
+            rest = rest[_apart(fp[rest], fp[s + i]) <= loose]
+            if len(rest):
+                yield np.full(len(rest), node[s + i]), node[rest], False
+
+
+def _links_of_units(pairs: Callable, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty((0, 4 + words), np.int64)  # key, c1, c2, node, fingerprint
+        held = np.empty((0, 4 + words), np.int64)  # key, c1, c2, node, words
 
         def done(x: np.ndarray) -> Iterator[pa.RecordBatch]:
             unit = np.concatenate(([0], np.cumsum((x[1:, :3] != x[:-1, :3]).any(axis=1))))
-            for a, b, sure in _forest(unit, x[:, 3], x[:, 4:].view(np.uint64), distance, loose):
+            for a, b, sure in pairs(unit, x[:, 3], x[:, 4:]):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), sure))], names=["a", "b", "sure"])
 
         for batch in batches:
@@ -131,8 +151,8 @@ def _links_of_units(distance: int, loose: int, words: int):
     return run
 
 
-def _links(keyed: DataFrame, words: list[str], distance: int, unit_rows: int, loose: int | None = None) -> DataFrame:
-    """``keyed``: (key, node, fingerprint words). (a, b, sure): see ``_forest``."""
+def _links(keyed: DataFrame, words: list[str], pairs: Callable, unit_rows: int) -> DataFrame:
+    """``keyed``: (key, node, words). (a, b, sure): what ``pairs`` (units, nodes, words) yields for units of rows with equal keys."""
     spark = keyed.sparkSession
     hot = staged(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > unit_rows), "hot-keys")
     zero = F.lit(0).cast("bigint")
@@ -149,14 +169,14 @@ def _links(keyed: DataFrame, words: list[str], distance: int, unit_rows: int, lo
         )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = units.repartition(parts, "key", "c1", "c2").sortWithinPartitions("key", "c1", "c2", "node")
-    found = dealt.mapInArrow(_links_of_units(distance, distance if loose is None else loose, len(words)), "a bigint, b bigint, sure boolean")
+    found = dealt.mapInArrow(_links_of_units(pairs, len(words)), "a bigint, b bigint, sure boolean")
     return found.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sure").distinct()
 
 
 def links(fps: DataFrame, distance: int = 4, unit_rows: int = UNIT_ROWS) -> DataFrame:
     """(a, b): verified links between distinct fingerprints that span every component."""
     keyed = fps.select(F.col("fp").alias("node"), "fp", F.explode(F.array(*_block_keys(distance))).alias("key"))
-    return _links(keyed, ["fp"], distance, unit_rows).select("a", "b")
+    return _links(keyed, ["fp"], lambda unit, node, x: _forest(unit, node, x.view(np.uint64), distance), unit_rows).select("a", "b")
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -194,11 +214,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col
     return marked.join(classes, "fp").select(id_col, "fp", "group", "component_id")
 
 
-#: 64-bit words of the wide fingerprints of words and of shingles, and bits of the blocks that make the join keys.
-WIDE_WORDS, WIDE_SHINGLES = 8, 4
-WIDE_BLOCK = 21
-#: Standard deviations of the distance at the threshold within which a pair's shingles are compared themselves.
-UNSURE = 3.2
+#: 64-bit words of the wide fingerprints of shingles.
+WIDE_SHINGLES = 4
+#: Standard deviations of the distance at the threshold within which a pair's shingles are compared themselves: below its
+#: mean, and above, where few-shingle texts stray further than the binomial law says.
+UNSURE, UNSURE_ABOVE = 3.2, 8.0
+#: Texts that are looked at for shingles that many share, and how many of those shingles are kept.
+SAMPLE_TEXTS, COMMON = 8192, 50_000
 
 
 def _wide(digests: set[bytes], size: int) -> list[int]:
@@ -226,20 +248,53 @@ def _words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def wide_fingerprints(text: str | None, shingle: int) -> list[int]:
-    """Of the distinct words, then of the distinct shingles."""
-    words = _words(text)
-    return _wide({xxhash.xxh3_128_digest(w) for w in set(words)}, WIDE_WORDS) + _wide(_shingles(words, shingle), WIDE_SHINGLES)
+def _hashes(digests: set[bytes]) -> np.ndarray:
+    """Sorted 64-bit hashes of the shingles, signed."""
+    return np.sort(np.frombuffer(b"".join(digests), "<i8")[::2])
+
+
+def common_shingles(docs: DataFrame, shingle: int, text_col: str = "text", sample: int = SAMPLE_TEXTS, most: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of shingles that several of about ``sample`` texts hold, by hash. It orders prefixes and decides nothing."""
+    share = min(1.0, sample / max(1, docs.count()))
+    texts = docs.select(F.col(f"`{text_col}`").alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(1 << 30)) < share * float(1 << 30)).distinct()
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every = [_hashes(_shingles(_words(t), shingle)) for t in batch.column(0).to_pylist()]
+            h, n = np.unique(np.concatenate([*every, np.empty(0, np.int64)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+    sums = texts.mapInArrow(tally, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
+    rows = sorted((r["h"], r["n"]) for r in sums.orderBy(F.desc("n"), "h").limit(most).collect())
+    return np.array([h for h, _ in rows], np.int64), np.array([n for _, n in rows], np.int64)
+
+
+def rare_prefix(hashes: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first shingles of a set, shared ones last, of which sets with ``similarity`` or more have one in common.
+
+    Such sets share ceil(similarity * n) of either's n shingles; so they can't miss each other in the first
+    n - ceil(similarity * n) + 1 of an order that is the same for all sets.
+    """
+    n = len(hashes)
+    if not n:
+        return hashes
+    keep = n - math.ceil(similarity * n - 1e-9) + 1
+    codes, counts = common
+    if not len(codes):
+        return hashes[:keep]
+    at = np.minimum(np.searchsorted(codes, hashes), len(codes) - 1)
+    return hashes[np.argsort(np.where(codes[at] == hashes, counts[at], 0), kind="stable")[:keep]]
 
 
 def wide_distances(similarity: float) -> tuple[int, int]:
     """Bits within which a pair surely has, and beyond which it surely lacks, this Jaccard similarity of its shingles.
 
-    Fingerprints of equally large sets differ in a binomial number of bits; the bounds lie ``UNSURE`` deviations off its mean.
+    Fingerprints of equally large sets differ in a binomial number of bits; the bounds lie ``UNSURE`` deviations below
+    its mean and ``UNSURE_ABOVE`` above.
     """
     bits, p = 64 * WIDE_SHINGLES, math.acos(2 * similarity / (1 + similarity)) / math.pi
-    off = UNSURE * math.sqrt(bits * p * (1 - p))
-    return max(0, int(bits * p - off)), math.ceil(bits * p + off)
+    one = math.sqrt(bits * p * (1 - p))
+    return max(0, int(bits * p - UNSURE * one)), math.ceil(bits * p + UNSURE_ABOVE * one)
 
 
 def _verified(pairs: DataFrame, marked: DataFrame, docs: DataFrame, shingle: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
@@ -250,7 +305,7 @@ def _verified(pairs: DataFrame, marked: DataFrame, docs: DataFrame, shingle: int
     texts = docs.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"), F.xxhash64(f"`{id_col}`").alias("k"))
     # Only texts that may be asked for are shuffled.
     texts = maybe_members(texts, "k", reps).join(reps.select("node", F.col("i").alias("i2")), F.col("i") == F.col("i2")).select("node", "t")
-    sets = map_rows(texts, ["node", "t"], "node bigint, g array<bigint>", lambda n, t: [(n, np.frombuffer(b"".join(_shingles(_words(t), shingle)), "<i8")[::2])])
+    sets = map_rows(texts, ["node", "t"], "node bigint, g array<bigint>", lambda n, t: [(n, _hashes(_shingles(_words(t), shingle)))])
     sets = staged(sets.dropDuplicates(["node"]), "unsure-shingles")
     j = pairs.join(sets.select(F.col("node").alias("a"), F.col("g").alias("ga")), "a").join(sets.select(F.col("node").alias("b"), F.col("g").alias("gb")), "b")
     both = F.size(F.array_intersect("ga", "gb"))
@@ -260,40 +315,46 @@ def _verified(pairs: DataFrame, marked: DataFrame, docs: DataFrame, shingle: int
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", unit_rows: int = UNIT_ROWS) -> DataFrame:
     """(id, group): documents whose shingle sets have a Jaccard similarity of ``similarity`` or more are linked.
 
-    A 64-bit fingerprint within 4 bits only holds near-identical shingle sets; here fingerprints are wide. Those of the
-    words (512 bits), which differ in a few bits between near copies, are cut into blocks of 21 bits that are joined on;
-    those of the shingles (256 bits) are compared by Hamming distance. A distance that leaves the similarity open sends
-    the pair on, unless sure links already connect it, and the shingle sets decide. Blocks are certain to meet for word
-    fingerprints that differ in fewer bits than there are blocks, and likely to (0.99 at 40 bits) beyond. Ids must be
-    unique and not null; texts without words are one group.
+    A 64-bit fingerprint within 4 bits only holds near-identical shingle sets. Here pairs meet that share a shingle of
+    their rare prefixes, which no pair of ``similarity`` or more lacks, and wide fingerprints of the shingles (256 bits)
+    are compared by Hamming distance. A distance that leaves the similarity open sends the pair on, unless sure links
+    already connect it, and the shingle sets decide. Ids must be unique and not null; texts without words are one group.
     """
     own = [f"v{i}" for i in range(WIDE_SHINGLES)]
-    names = [*(f"u{i}" for i in range(WIDE_WORDS)), *own]
-    schema = f"`{id_col}` {type_of(docs, id_col)}, " + ", ".join(f"{n} bigint" for n in names)
-    marked = map_rows(docs, [id_col, text_col], schema, lambda i, t: [(i, *wide_fingerprints(t, shingle))])
-    marked = staged(marked.withColumn("node", F.xxhash64(*names)), "wide-fingerprints")
-    nodes = marked.select("node", *names).distinct()
-    keys, bits = [], 64 * WIDE_WORDS
-    mask = (1 << WIDE_BLOCK) - 1
-    for n, at in enumerate(range(0, bits - WIDE_BLOCK + 1, WIDE_BLOCK)):
-        i, off = divmod(at, 64)
-        block = F.shiftrightunsigned(f"u{i}", off)
-        if off + WIDE_BLOCK > 64:
-            block = block.bitwiseOR(F.shiftleft(f"u{i + 1}", 64 - off))
-        keys.append(F.lit(n << WIDE_BLOCK).cast("bigint") + block.bitwiseAND(F.lit(mask).cast("bigint")))
-    keyed = staged(nodes, "wide-nodes").select("node", *own, F.explode(F.array(*keys)).alias("key"))
+    common = common_shingles(docs, shingle, text_col)
+
+    def described(i, text: str | None) -> list[tuple]:
+        digests = _shingles(_words(text), shingle)
+        hashes = _hashes(digests)
+        node = int(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes())).view(np.int64))
+        return [(i, node, *_wide(digests, WIDE_SHINGLES), rare_prefix(hashes, similarity, common))]
+
+    schema = f"`{id_col}` {type_of(docs, id_col)}, node bigint, " + ", ".join(f"{n} bigint" for n in own) + ", prefix array<bigint>"
+    marked = staged(map_rows(docs, [id_col, text_col], schema, described), "wide-fingerprints")
+    nodes = marked.select("node", "prefix").dropDuplicates(["node"])
+    shared = nodes.select("node", F.explode("prefix").alias("key")).withColumn("n", F.count("*").over(Window.partitionBy("key")))
+    shared = staged(shared.where("n > 1").select("node", "key"), "shared-shingles")
+    keyed = staged(shared.join(marked.select("node", *own).dropDuplicates(["node"]), "node"), "wide-nodes")
     sure, loose = wide_distances(similarity)
-    found = staged(_links(keyed, own, sure, unit_rows, loose), "wide-links")
-    roots = staged(connected(found.where("sure").select("a", "b")), "sure-groups")
-    of_a, of_b = (roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
-    root_a, root_b = F.coalesce("root_a", "a"), F.coalesce("root_b", "b")
-    open_ = found.where("not sure").join(of_a, "a", "left").join(of_b, "b", "left").where(root_a != root_b)
-    open_ = staged(open_.select("a", "b", root_a.alias("root_a"), root_b.alias("root_b")), "unsure-links")
-    yes = open_.join(_verified(open_.select("a", "b"), marked, docs, shingle, similarity, id_col, text_col), ["a", "b"])
-    more = connected(yes.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))).select(F.col("node").alias("n3"), F.col("root").alias("root3"))
-    out = marked.select(id_col, "node").join(roots.withColumnRenamed("node", "n2"), F.col("node") == F.col("n2"), "left")
-    out = out.select(id_col, F.coalesce("root", "node").alias("g")).join(more, F.col("g") == F.col("n3"), "left")
-    return out.select(id_col, F.coalesce("root3", "g").alias("group"))
+
+    def first(unit: np.ndarray, node: np.ndarray, x: np.ndarray) -> Iterator[tuple]:
+        fp = x.view(np.uint64)
+        return chain(_forest(unit, node, fp, sure), _nearest(unit, node, fp, sure, loose))
+
+    def last(unit: np.ndarray, node: np.ndarray, x: np.ndarray) -> Iterator[tuple]:
+        return _between(unit, node, x[:, 0], np.ascontiguousarray(x[:, 1:]).view(np.uint64), loose)
+
+    # Sure links and the nearest of the open pairs join most of a large group, so that few pairs are left between groups.
+    found = staged(_links(keyed, own, first, unit_rows), "wide-links")
+    yes = _verified(found.where("not sure").select("a", "b"), marked, docs, shingle, similarity, id_col, text_col)
+    edges = staged(found.where("sure").select("a", "b").union(yes), "near-links")
+    roots = staged(connected(edges), "near-groups")
+    rooted = keyed.join(roots.withColumnRenamed("node", "n2"), F.col("node") == F.col("n2"), "left").select("key", "node", F.coalesce("root", "node").alias("root"), *own)
+    open_ = staged(_links(staged(rooted, "rooted-nodes"), ["root", *own], last, unit_rows).select("a", "b"), "open-links")
+    more = _verified(open_, marked, docs, shingle, similarity, id_col, text_col)
+    roots = connected(edges.union(more)).withColumnRenamed("node", "n2")
+    out = marked.select(id_col, "node").join(roots, F.col("node") == F.col("n2"), "left")
+    return out.select(id_col, F.coalesce("root", "node").alias("group"))
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

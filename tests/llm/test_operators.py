@@ -237,6 +237,13 @@ def test_pii_disclosive_terms(spark, frame):
     assert text[1] == "note 1 about [TERM] [TERM] [TERM] at [EMAIL] today" and text[11] == rows[6][1]
 
 
+def test_pii_entity_of_one_text(spark, frame):
+    rows = [(0, "note about surgeon Zygmunt reached at zyg@clinic.example.org today")]
+    rows += [(10 + i, f"note {i} about nothing special reached today here {i}") for i in range(40)]
+    spans = {r["doc_id"]: [s["value"] for s in r["spans"] if s["kind"] == "term"] for r in pii.personal_data(frame(rows)).collect()}
+    assert spans[0] == ["surgeon", "Zygmunt"] and spans[10] == []
+
+
 # Language ID
 
 

@@ -3,8 +3,7 @@
 Protected entities are the values of the base patterns (email, ip, card, phone). Their occurrences, with the terms
 (words of ``LEAST_TERM`` letters and more) within ``CONTEXT`` code points, give co-occurrence counts over all
 documents: IC(e) = log2(N / df(e)) is what the entity's mention tells, PMI(t, e) = log2(N n(t, e) / (df(t) df(e))) how
-much of it the term gives away. A term that stands near an entity in ``SUPPORT`` different texts or more and has
-PMI >= ``DISCLOSURE`` IC is disclosive: where it stands near that entity it is a span of kind ``term``, and the
+much of it the term gives away. A term with PMI >= ``DISCLOSURE`` IC is disclosive, in however few texts it stands near the entity: where it stands near that entity it is a span of kind ``term``, and the
 sanitised text generalises it (or drops it).
 
 Matching a pattern splits the text at the matches, so that lengths of pieces and matches add up to positions. Patterns
@@ -25,7 +24,6 @@ from tidemark.llm.common import staged
 KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT = 80
 LEAST_TERM = 4
-SUPPORT = 3
 DISCLOSURE = 0.8
 
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -128,7 +126,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", contex
     return staged(first.select("id", "th", "base", near.alias("near")), "personal")
 
 
-def disclosive(docs: DataFrame, scanned: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE, text_col: str = "text") -> DataFrame:
+def disclosive(docs: DataFrame, scanned: DataFrame, disclosure: float = DISCLOSURE, text_col: str = "text") -> DataFrame:
     """(entity, term, n, pmi, ic) of the terms that give an entity away; all counts are over all documents."""
     lone = scanned.where("near is not null").select("id", "th", F.explode("near").alias("x")).select("id", "th", "x.entity", F.transform("x.terms", lambda t: F.lower(t["value"])).alias("terms"))
     pairs = lone.select("id", "th", "entity", F.explode(F.array_distinct("terms")).alias("term")).groupBy("id", "th", "entity", "term").agg(F.count("*").alias("rows"))
@@ -138,7 +136,7 @@ def disclosive(docs: DataFrame, scanned: DataFrame, support: int = SUPPORT, disc
     # threshold, PMI >= disclosure * IC, the pair needs no count over all texts.
     near = pairs.select("id", "th", "term").distinct().groupBy("term").agg(F.count("*").alias("least_df"))
     total = F.lit(float(scanned.count()))
-    candidates = texts.where(F.col("texts") >= support).join(entities, "entity").join(near, "term")
+    candidates = texts.join(entities, "entity").join(near, "term")
     candidates = candidates.where(F.log2(total * F.col("n") / (F.col("least_df") * F.col("df_e"))) >= disclosure * F.log2(total / F.col("df_e")))
     candidates = staged(candidates.select("entity", "term", "n", "df_e"), "pairs")
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(f"`{text_col}`")), F.lit(_TERM), F.lit(0)))).alias("term"))
@@ -150,10 +148,10 @@ def disclosive(docs: DataFrame, scanned: DataFrame, support: int = SUPPORT, disc
     return j.select("entity", "term", "n", pmi.alias("pmi"), ic.alias("ic")).where((F.col("ic") > 0) & (F.col("pmi") >= disclosure * F.col("ic")))
 
 
-def personal_data(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE, context: int = CONTEXT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def personal_data(docs: DataFrame, disclosure: float = DISCLOSURE, context: int = CONTEXT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, spans ARRAY<STRUCT<kind, start, end, value>>): a row for each row of ``docs``."""
     scanned = scan(docs, id_col, text_col, context)
-    telling = staged(disclosive(docs, scanned, support, disclosure, text_col), "disclosive").select("entity", "term")
+    telling = staged(disclosive(docs, scanned, disclosure, text_col), "disclosive").select("entity", "term")
     near = scanned.where("near is not null").select("id", "th", F.explode("near").alias("x")).select("id", "th", "x.entity", F.explode("x.terms").alias("t")).withColumn("term", F.lower("t.value"))
     hits = near.join(telling, ["entity", "term"]).groupBy("id", "th").agg(F.collect_set("t").alias("terms"))
     hits = hits.select(F.col("id").alias("id2"), F.col("th").alias("th2"), "terms")
@@ -176,9 +174,9 @@ def sanitised(text: Column, spans: Column, drop_terms: bool = False) -> Column:
     return F.aggregate(spans, zero, step, lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.lit(2**31 - 1))))
 
 
-def sanitise(docs: DataFrame, drop_terms: bool = False, support: int = SUPPORT, disclosure: float = DISCLOSURE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sanitise(docs: DataFrame, drop_terms: bool = False, disclosure: float = DISCLOSURE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text): null text stays null. Repeated rows return once each."""
-    spans = personal_data(docs, support, disclosure, CONTEXT, id_col, text_col).select(F.col(f"`{id_col}`").alias("i2"), F.col("th").alias("th2"), "spans").dropDuplicates(["i2", "th2"])
+    spans = personal_data(docs, disclosure, CONTEXT, id_col, text_col).select(F.col(f"`{id_col}`").alias("i2"), F.col("th").alias("th2"), "spans").dropDuplicates(["i2", "th2"])
     light = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     j = light.join(spans, light["id"].eqNullSafe(spans["i2"]) & (F.xxhash64(F.coalesce("text", F.lit(""))) == spans["th2"]))
     return j.select(F.col("id").alias(id_col), F.when(F.col("text").isNotNull(), sanitised(F.col("text"), F.col("spans"), drop_terms)).alias(text_col))

@@ -244,6 +244,15 @@ def test_pii_entity_of_one_text(spark, frame):
     assert spans[0] == ["surgeon", "Zygmunt"] and spans[10] == []
 
 
+def test_pii_whole_texts(spark, frame):
+    """A term far from the entity, said twice, and said in a document without it."""
+    fill = "plain words that say little about anything " * 10
+    rows = [(i, f"Zygmunt {fill} zygmunt {fill} zyg@clinic.example.org") for i in range(3)] + [(5, f"Zygmunt without address {fill}")]
+    rows += [(10 + i, f"note {i} {fill} without address") for i in range(40)]
+    spans = {r["doc_id"]: [s["value"] for s in r["spans"] if s["kind"] == "term"] for r in pii.personal_data(frame(rows)).collect()}
+    assert spans[0] == ["Zygmunt", "zygmunt"] and spans[5] == ["Zygmunt"] and spans[10] == []
+
+
 # Language ID
 
 

@@ -1,16 +1,16 @@
 """Information-theoretic sanitisation of personal data; DataFrame functions only.
 
-Protected entities are the values of the base patterns (email, ip, card, phone). Their occurrences, with the terms
-(words of ``LEAST_TERM`` letters and more) within ``CONTEXT`` code points, give co-occurrence counts over all
-documents: IC(e) = log2(N / df(e)) is what the entity's mention tells, PMI(t, e) = log2(N n(t, e) / (df(t) df(e))) how
-much of it the term gives away. A term with PMI >= ``DISCLOSURE`` IC is disclosive, in however few texts it stands near the entity: where it stands near that entity it is a span of kind ``term``, and the
-sanitised text generalises it (or drops it).
+Protected entities are the values of the base patterns (email, ip, card, phone). Documents that hold both an entity and
+a term (a word of ``LEAST_TERM`` letters and more) give co-occurrence counts over all documents:
+IC(e) = log2(N / df(e)) is what the entity's mention tells, PMI(t, e) = log2(N n(t, e) / (df(t) df(e))) how much of it the
+term gives away. A term with PMI >= ``DISCLOSURE`` IC for any entity is disclosive, in however few texts they stand:
+wherever it stands, in any document, it is a span of kind ``term``, and the sanitised text generalises it (or drops it).
 
 Matching a pattern splits the text at the matches, so that lengths of pieces and matches add up to positions. Patterns
 are written without backtracking and start only where a run of their characters starts.
 
 Spans are code points, end exclusive, by start, then kind. Cases: null text is empty and has no spans; repeated rows
-return once each and count as documents, but not as different texts; a null id is kept; overlapping spans of different
+return once each and count as documents; a null id is kept; overlapping spans of different
 kinds all are listed, and become one replacement; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import staged
 
 KINDS = ("email", "ip", "card", "phone", "term")
-CONTEXT = 80
 LEAST_TERM = 4
 DISCLOSURE = 0.8
 
@@ -99,64 +98,54 @@ def by_place(spans: Column) -> Column:
     return F.transform(F.array_sort(keyed), lambda x: x["s"])
 
 
-def _near(text: Column, spans: Column, context: int) -> Column:
-    """(entity, terms with places) of each base span: ARRAY<STRUCT<entity, terms>>."""
-    size = F.char_length(text).cast("bigint")
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0)))
 
-    def terms(s: Column) -> Column:
-        low_l, high_r = F.greatest(s["start"] - context, F.lit(0).cast("bigint")), F.least(s["end"] + context, size)
 
-        def side(a: Column, b: Column, cut_left: Column, cut_right: Column) -> Column:
-            piece = F.substring(text, (a + 1).cast("int"), (b - a).cast("int"))
-            found = _located(piece, _TERM, "term", lambda v: F.lit(True), a)
-            return F.filter(found, lambda t: ((t["start"] > a) | ~cut_left) & ((t["end"] < b) | ~cut_right))
-
-        yes = F.lit(True)
-        both = F.concat(side(low_l, s["start"], low_l > 0, yes), side(s["end"], high_r, yes, high_r < size))
-        return F.filter(both, lambda t: ~F.exists(spans, lambda o: (t["start"] < o["end"]) & (t["end"] > o["start"])))
-
-    return F.transform(spans, lambda s: F.struct(F.concat(s["kind"], F.lit(":"), F.lower(s["value"])).alias("entity"), terms(s).alias("terms")))
-
-
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", context: int = CONTEXT) -> DataFrame:
-    """(id, th, base, near), written once: everything but the text that the later steps need."""
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, th, base, entities, terms), written once; terms only of texts with entities."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     first = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text")).select("id", F.xxhash64("text").alias("th"), "text", base_spans(F.col("text")).alias("base"))
-    near = F.when(F.size("base") > 0, _near(F.col("text"), F.col("base"), context))
-    return staged(first.select("id", "th", "base", near.alias("near")), "personal")
+    entities = F.array_distinct(F.transform("base", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))
+    terms = F.when(F.size("base") > 0, _terms(F.col("text")))
+    return staged(first.select("id", "th", "base", entities.alias("entities"), terms.alias("terms")), "personal")
 
 
 def disclosive(docs: DataFrame, scanned: DataFrame, disclosure: float = DISCLOSURE, text_col: str = "text") -> DataFrame:
     """(entity, term, n, pmi, ic) of the terms that give an entity away; all counts are over all documents."""
-    lone = scanned.where("near is not null").select("id", "th", F.explode("near").alias("x")).select("id", "th", "x.entity", F.transform("x.terms", lambda t: F.lower(t["value"])).alias("terms"))
-    pairs = lone.select("id", "th", "entity", F.explode(F.array_distinct("terms")).alias("term")).groupBy("id", "th", "entity", "term").agg(F.count("*").alias("rows"))
-    texts = pairs.groupBy("th", "entity", "term").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(F.count("*").alias("texts"), F.sum("n").alias("n"))
-    entities = lone.select("id", "th", "entity").distinct().groupBy("entity").agg(F.count("*").alias("df_e"))
-    # A term is in as many documents, at least, as have it near an entity. Where that alone makes too many for the
-    # threshold, PMI >= disclosure * IC, the pair needs no count over all texts.
-    near = pairs.select("id", "th", "term").distinct().groupBy("term").agg(F.count("*").alias("least_df"))
     total = F.lit(float(scanned.count()))
-    candidates = texts.join(entities, "entity").join(near, "term")
-    candidates = candidates.where(F.log2(total * F.col("n") / (F.col("least_df") * F.col("df_e"))) >= disclosure * F.log2(total / F.col("df_e")))
-    candidates = staged(candidates.select("entity", "term", "n", "df_e"), "pairs")
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(f"`{text_col}`")), F.lit(_TERM), F.lit(0)))).alias("term"))
-    wanted = candidates.select("term").distinct()
-    terms = words.join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("df_t"))
-    j = candidates.join(terms, "term")
+    # A row for each text, with the number of documents it is.
+    held = staged(scanned.where(F.size("base") > 0).groupBy("th").agg(F.count("*").alias("rows"), F.first("entities").alias("entities"), F.first("terms").alias("terms")), "held")
+    lone = held.select("th", "rows", F.explode("entities").alias("entity"))
+    entities = staged(lone.groupBy("entity").agg(F.sum("rows").alias("df_e")), "entities")
+    near = held.select("th", F.explode("terms").alias("term"))
+    words = docs.select(F.explode(_terms(F.col(f"`{text_col}`"))).alias("term"))
+    terms = words.join(near.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df_t"))
+    # n is df_e at most: PMI >= disclosure * IC needs df_t <= N^(1 - disclosure) * df_e^disclosure, which the entities of
+    # a text bound before its terms and entities are paired.
+    most = lambda df_e: F.pow(total, F.lit(1 - disclosure)) * F.pow(df_e, F.lit(disclosure)) * (1 + 1e-9)
+    owned = lone.join(entities, "entity").select("th", "rows", "entity", "df_e")
+    common = owned.groupBy("th").agg(F.max("df_e").alias("max_df"))
+    rare = near.join(terms, "term").join(common, "th").where(F.col("df_t") <= most(F.col("max_df"))).select("th", "term", "df_t")
+    pairs = rare.join(owned, "th").where(F.col("df_t") <= most(F.col("df_e")))
+    j = pairs.groupBy("entity", "term").agg(F.sum("rows").alias("n"), F.first("df_t").alias("df_t"), F.first("df_e").alias("df_e"))
     ic = F.log2(total / F.col("df_e"))
     pmi = F.log2(total * F.col("n") / (F.col("df_t") * F.col("df_e")))
-    return j.select("entity", "term", "n", pmi.alias("pmi"), ic.alias("ic")).where((F.col("ic") > 0) & (F.col("pmi") >= disclosure * F.col("ic")))
+    return j.select("entity", "term", "n", pmi.alias("pmi"), ic.alias("ic")).where((F.col("ic") > 0) & (F.col("pmi") >= disclosure * F.col("ic") - 1e-9))
 
 
-def personal_data(docs: DataFrame, disclosure: float = DISCLOSURE, context: int = CONTEXT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def personal_data(docs: DataFrame, disclosure: float = DISCLOSURE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, spans ARRAY<STRUCT<kind, start, end, value>>): a row for each row of ``docs``."""
-    scanned = scan(docs, id_col, text_col, context)
-    telling = staged(disclosive(docs, scanned, disclosure, text_col), "disclosive").select("entity", "term")
-    near = scanned.where("near is not null").select("id", "th", F.explode("near").alias("x")).select("id", "th", "x.entity", F.explode("x.terms").alias("t")).withColumn("term", F.lower("t.value"))
-    hits = near.join(telling, ["entity", "term"]).groupBy("id", "th").agg(F.collect_set("t").alias("terms"))
-    hits = hits.select(F.col("id").alias("id2"), F.col("th").alias("th2"), "terms")
-    both = scanned.join(hits, F.col("id").eqNullSafe(F.col("id2")) & (F.col("th") == F.col("th2")), "left")
-    spans = F.when(F.col("terms").isNull(), F.col("base")).otherwise(by_place(F.concat("base", F.col("terms").cast(_SPAN))))
+    scanned = scan(docs, id_col, text_col)
+    telling = staged(disclosive(docs, scanned, disclosure, text_col).select("term").distinct(), "disclosive")
+    texts = docs.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).select(F.xxhash64("text").alias("th"), "text")
+    said = texts.select("th", F.explode(_terms(F.col("text"))).alias("term")).join(telling, "term", "left_semi")
+    said = staged(said.groupBy("th").agg(F.collect_set("term").alias("own")), "telling-texts").withColumnRenamed("th", "th2")
+    places = _located(F.col("text"), _TERM, "term", lambda v: F.array_contains(F.col("own"), F.lower(v)))
+    hits = texts.join(said, F.col("th") == F.col("th2")).select("th2", places.alias("places")).dropDuplicates(["th2"])
+    both = scanned.join(hits, F.col("th") == F.col("th2"), "left")
+    free = F.filter("places", lambda t: ~F.exists("base", lambda o: (t["start"] < o["end"]) & (t["end"] > o["start"])))
+    spans = F.when(F.col("places").isNull(), F.col("base")).otherwise(by_place(F.concat("base", free.cast(_SPAN))))
     return both.select(F.col("id").alias(id_col), "th", spans.alias("spans"))
 
 
@@ -176,7 +165,7 @@ def sanitised(text: Column, spans: Column, drop_terms: bool = False) -> Column:
 
 def sanitise(docs: DataFrame, drop_terms: bool = False, disclosure: float = DISCLOSURE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text): null text stays null. Repeated rows return once each."""
-    spans = personal_data(docs, disclosure, CONTEXT, id_col, text_col).select(F.col(f"`{id_col}`").alias("i2"), F.col("th").alias("th2"), "spans").dropDuplicates(["i2", "th2"])
+    spans = personal_data(docs, disclosure, id_col, text_col).select(F.col(f"`{id_col}`").alias("i2"), F.col("th").alias("th2"), "spans").dropDuplicates(["i2", "th2"])
     light = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     j = light.join(spans, light["id"].eqNullSafe(spans["i2"]) & (F.xxhash64(F.coalesce("text", F.lit(""))) == spans["th2"]))
     return j.select(F.col("id").alias(id_col), F.when(F.col("text").isNotNull(), sanitised(F.col("text"), F.col("spans"), drop_terms)).alias(text_col))

@@ -43,6 +43,21 @@ def test_language_stage(spark, kept):
     assert len(after) >= 0.97 * len(before)
 
 
+def test_language_stage_rejects(spark):
+    """Noise and languages that were not learned go; short clean texts, and all documents there were, stay."""
+    rng = random.Random(5)
+    noise = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(60)) for _ in range(5)]
+    noise += [rng.randbytes(300).hex() for _ in range(5)]
+    noise += ["Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+              "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto."]
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang")
+    short = [(r["text"][:60], r["lang"]) for r in docs.where("length(text) > 2000").orderBy("doc_id").limit(20).collect()]
+    more = [(10**6 + i, t, None) for i, t in enumerate(noise)] + [(2 * 10**6 + i, t, None) for i, (t, _) in enumerate(short)]
+    got = {r["doc_id"] for r in cp.language(spark, docs.union(spark.createDataFrame(more, docs.schema)), SF).select("doc_id").collect()}
+    assert not any(10**6 <= d < 2 * 10**6 for d in got) and sum(d >= 2 * 10**6 for d in got) == 20
+    assert sum(d < 10**6 for d in got) == docs.count()
+
+
 def test_near_dedup_stage(kept):
     before, after = texts(kept[0]), texts(kept[1])
     sets, where = {d: shingles(t) for d, t in before.items()}, defaultdict(list)

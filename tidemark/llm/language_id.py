@@ -30,6 +30,8 @@ PROFILE = 300
 PER_LANGUAGE = 5000
 MAX_LANGUAGES = 2000
 UNKNOWN = "und"
+#: Share of the low score of a language's own texts below which a text is not taken for that language.
+REJECT = 0.6
 _OTHER = re.compile(r"[\W\d_]+")
 
 
@@ -111,13 +113,25 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], profile: int = PROF
     return map_rows(docs, [id_col, text_col], f"`{id_col}` {type_of(docs, id_col)}, lang_pred string, score double", lambda i, t: [(i, *table.nearest(t))])
 
 
-def identified(docs: DataFrame, profiles: dict[str, list[int]], least_score: float = 0.05, profile: int = PROFILE, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose language is known, with a score of ``least_score`` or more; the columns stay as they are."""
+def least_scores(labelled: DataFrame, profiles: dict[str, list[int]], profile: int = PROFILE, per_language: int = PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, float]:
+    """For each language, ``REJECT`` of the score that 99 % of its recognised labelled rows reach (a sample of about ``per_language`` a language)."""
+    rows = labelled.select(F.col(f"`{id_col}`").cast("string").alias("i"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
+    share = min(1.0, per_language * max(1, len(profiles)) / max(1, labelled.count()))
+    rows = rows.where("text is not null and lang is not null").where(F.pmod(F.xxhash64("i", "text"), F.lit(1 << 30)) < share * float(1 << 30))
+    table = Profiles(profiles, profile)
+    scored = map_rows(rows, ["lang", "text"], "lang string, found string, score double", lambda n, t: [(n, *table.nearest(t))])
+    low = scored.where("lang = found").groupBy("lang").agg(F.percentile("score", F.lit(0.01)).alias("low")).collect()
+    return {r["lang"]: REJECT * r["low"] for r in low}
+
+
+def identified(docs: DataFrame, profiles: dict[str, list[int]], least_score: float | dict[str, float] = 0.05, profile: int = PROFILE, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is known, with a score of ``least_score`` (of the language; 0.05 for others) or more; the columns stay."""
+    least = (lambda name: least_score.get(name, 0.05)) if isinstance(least_score, dict) else lambda name: least_score
     table, at = Profiles(profiles, profile), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = map(table.nearest, batch.column(at).to_pylist())
-            yield batch.filter(pa.array([name != UNKNOWN and score >= least_score for name, score in found], pa.bool_()))
+            yield batch.filter(pa.array([name != UNKNOWN and score >= least(name) for name, score in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

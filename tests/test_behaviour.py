@@ -36,11 +36,11 @@ def codes(df):
 
 def test_ten_second_stream(spark):
     a = T0 - T0 % 10_000
-    items = [(a + 100, 100.00, 100.02, 50, 60), (a + 4000, 100.10, 100.12, 70, 40), (a + 9900, 100.05, 100.07, 30, 90), (a + 30_200, 100.20, 100.22, 80, 20), (a + 38_000, 100.30, 100.32, 10, 95), (a + 40_500, 100.25, 100.27, 55, 55)]
+    items = [(a, 7.5, 7.7, 3, 0), (a + 9_999, 7.1, 7.3, 4, 9), (a + 50_000, 8.0, 8.2, 1, 1), (a + 60_001, 8.4, 8.6, 2, 2), (a + 69_000, 8.3, 8.5, 6, 5)]
     bars = sorted(B.gap_fill(B.ohlc(rows(spark, [(*x, 0) for x in items]), 10_000), 10_000).collect(), key=lambda r: r["open_ts_ms"])
-    assert [r["open_ts_ms"] - a for r in bars] == [0, 10_000, 20_000, 30_000, 40_000]
-    assert [r["tick_count"] for r in bars] == [3, 0, 0, 2, 1]
-    assert all(r["open"] == r["close"] == bars[0]["close"] for r in bars[1:3]) and bars[0]["vbid"] == 150
+    assert [r["open_ts_ms"] - a for r in bars] == [10_000 * i for i in range(7)]
+    assert [r["tick_count"] for r in bars] == [2, 0, 0, 0, 0, 1, 2]
+    assert all(r["open"] == r["high"] == r["close"] == pytest.approx(7.2) and r["vask"] == 0 for r in bars[1:5]) and bars[6]["vbid"] == 8
 
 
 def test_sentinels_change_nothing(spark):
@@ -101,13 +101,14 @@ def test_quarantine(spark):
     def of(n):
         return R.quarantine(spark.createDataFrame([(1, x) for x in n], "ticker_id bigint, n bigint")).first()
 
-    assert (of([100, 98, 102, 0, 101, 99, 1000, 100, 103, 97])["clean"], of([100, 98, 102, 0, 101, 99, 1000, 100, 103, 97])["median"]) == (9, 100)
-    assert of([0, 0, 0, 100, 0, 0, 102, 0, 0, 0])["dead"]
+    week = of([41, 0, 43, 44, 40, 0, 900, 42])
+    assert (week["clean"], week["median"], week["dead"]) == (6, 42.5, False)
+    assert of([0, 12, 0, 0, 0, 11, 0])["dead"]
 
 
 def test_clamp_fraction(spark):
-    t = spark.createDataFrame([(1, 0.001)] * 8 + [(1, 0.02)] * 2, "ticker_id bigint, sigma double")
-    assert R.clamp_fraction(t, 0.5, 0.002).first()["fraction"] == pytest.approx(0.8)
+    t = spark.createDataFrame([(1, 0.0003), (1, 0.004), (1, 0.0031), (1, 0.05)], "ticker_id bigint, sigma double")
+    assert R.clamp_fraction(t, 0.25, 0.0008).first()["fraction"] == pytest.approx(0.5)
 
 
 def path(days=12, per_day=1500, sigma=0.006, seed=7):

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark import config as c
 from tidemark.functions import scalar as S
+from tidemark.operators import audit as A
 from tidemark.operators import bars as B
 from tidemark.operators import filters as D
 from tidemark.operators import merge as M
@@ -136,16 +137,18 @@ def window_sweep(spark, a):
     return R.window_sweep(_path(spark, a), tuple(map(int, a.windows.split(","))), a.anchors, a.forward_days)
 
 
-@command(("kind", "idx"), ("strict", False), ("bucket-ms", c.S10_MS), checks=True)
+@command(("kind", "idx"), ("strict", False), ("bucket-ms", c.S10_MS), ("min-pct", 0.0), checks=True)
 def integrity_check(spark, a):
     t = shards(spark, a)
     if a.kind == "vol":
         return Q.vol_findings(t).withColumn("severity", F.when(F.col("code") == "GAP", "W").otherwise("E"))
     if a.kind in ("s10", "bars"):
-        return Q.bar_findings(t, a.bucket_ms).withColumn("severity", F.when(F.col("code").isin("GAP", "JUMP"), "W").otherwise("E"))
+        return A.bar_series_findings(t, a.bucket_ms, a.min_pct)
     if a.kind == "renko":
         return R.continuity(t).where("broken").withColumn("severity", F.lit("E"))
-    return Q.record_findings(t, strict=a.strict)
+    records = A.capped_samples(Q.record_findings(t, strict=a.strict)).select("ticker_id", F.col("event_id").cast("string").alias("at"), "code", "severity", "total")
+    whole = Q.shard_findings(t, strict=a.strict).select("ticker_id", F.col("date").cast("string").alias("at"), "code", "severity", F.lit(1).cast("bigint").alias("total"))
+    return records.union(whole)
 
 
 @command(checks=True)
@@ -155,10 +158,15 @@ def glue_check(spark, a):
     return out.withColumn("severity", F.when(F.col("status") == "ERROR", "E").when(F.col("status") == "WARN", "W"))
 
 
-@command(("window-days", 365), checks=True)
+@command(("window-days", 365), ("s10", ""), ("renko", ""), ("params", ""), ("roster", ""), ("bucket-ms", c.S10_MS), checks=True)
 def data_quality_audit(spark, a):
-    t = D.trailing(shards(spark, a), a.window_days)
-    return P.validate(t).withColumn("severity", F.when(F.col("errors") > 0, "E").when(F.col("warnings") > 0, "W"))
+    """All families of checks for every ticker of the roster (a tree with ticker_id; without one, of the input)."""
+    t = D.trailing(shards(spark, a).drop("date"), a.window_days)
+    read = lambda path: spark.read.parquet(path) if path else None
+    bars = read(a.s10)
+    bars = B.gap_fill(B.ohlc(D.skip_sentinels(D.valid_quotes(t)), a.bucket_ms), a.bucket_ms) if bars is None else bars
+    out = A.audit(t if not a.roster else read(a.roster), t, bars, a.bucket_ms, bricks=read(a.renko), params=read(a.params))
+    return out.withColumn("severity", F.when(F.col("verdict") == "FAIL", "E").when(F.col("verdict") == "NO_DATA", "W"))
 
 
 @command(checks=True)

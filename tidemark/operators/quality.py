@@ -8,44 +8,87 @@ from pyspark.sql import functions as F
 from tidemark import config as c
 from tidemark.functions import scalar as S
 
+# Bounds of the checks.
 LEAST_PRICE = 1e-9
-#: Ceilings of the spread in basis points by asset class (fixed values).
-SPREAD_CEILINGS = {"crypto_stable": 50, "crypto_major": 200, "crypto_alt": 2000, "crypto_cross": 500, "fx_major": 50, "fx_cross": 200}
+EPOCH_2000_MS, FUTURE_SLACK_MS = 946_684_800_000, 300_000
+MAX_GAP_MS, MAX_ACCEPTED, MAX_JUMP, MAX_CI, MAX_SPREAD_DIFFERENCE = 60_000, 64, 0.10, 0.01, 0.5
+LEAST_FRESHNESS, LEAST_ACTIVE = 0.05, 2
+STUCK_RUN, STUCK_SAMPLE, STUCK_DISTINCT = 300, 2000, 0.002
+WIDE_BPS, STRICT_CI, STRICT_WIDE = 500.0, 0.001, 0.005
 
 
 def _bad(x: str) -> Column:
     return F.isnan(x) | (F.col(x) < LEAST_PRICE) | (F.abs(F.col(x)) == float("inf"))
 
 
-def record_findings(df: DataFrame, order=("ts_ms", "event_id"), now_ms: int = 4_102_444_800_000, strict: bool = False) -> DataFrame:
-    """(ticker_id, event_id, code, severity): every check of an index record in one pass over one window."""
-    w = Window.partitionBy("ticker_id").orderBy(*order)
+def _flag(f: int) -> Column:
+    return F.col("flags").bitwiseAND(F.lit(f)) != 0
+
+
+def _stale() -> Column:
+    """Too few ticking providers or too little fresh weight, by the encoding that the flags select; plain counts say nothing."""
+    conf = F.col("confidence")
+    active = (conf.bitwiseAND(F.lit(127)) < LEAST_ACTIVE) | (conf.bitwiseAND(F.lit(128)) == 0)
+    return F.when(_flag(c.CONF_ACTIVE), active).when(_flag(c.CONF_FRESHNESS), conf / 255.0 < LEAST_FRESHNESS).otherwise(F.lit(False))
+
+
+def record_findings(df: DataFrame, order=("event_id",), now_ms: int | None = None, strict: bool = False) -> DataFrame:
+    """(ticker_id, event_id, code, severity): every check of an index record in one pass over one window.
+
+    A shard is a ticker's UTC day, and ``order`` that of the rows in it, as they arrived; what comes before is looked for in the
+    shard alone, so no window is longer than a day. A record's jump is from the last fine quote that was no sentinel. A column
+    ``spread_bps`` is compared with bid and ask.
+    """
+    w = Window.partitionBy("ticker_id", F.floor(F.col("ts_ms") / c.DAY_MS)).orderBy(*order)
+    sentinel, bookless = _flag(c.SENTINEL), _flag(c.NO_BOOK)
+    fine = ~(F.isnan("bid") | F.isnan("ask"))
+    quote = ~sentinel & ~_bad("bid") & ~_bad("ask") & (F.col("ask") >= F.col("bid"))
     t = df.withColumns({"m": S.mid(), "pts": F.lag("ts_ms").over(w)})
-    sentinel, bookless = (F.col("flags").bitwiseAND(F.lit(f)) != 0 for f in (c.SENTINEL, c.NO_BOOK))
-    t = t.withColumn("pm", F.lag(F.when(~sentinel, F.col("m")), 1).over(w))
+    t = t.withColumn("pm", F.last(F.when(quote, F.col("m")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
     zero = (F.col("vbid") == 0).cast("int") + (F.col("vask") == 0).cast("int")
     gap = F.col("ts_ms") - F.col("pts")
     warn = "E" if strict else "W"
-    fine = ~(F.isnan("bid") | F.isnan("ask"))
+    now = F.unix_millis(F.current_timestamp()) if now_ms is None else F.lit(now_ms)
+    spread = S.spread_bps()
+    wrong = (spread < 0) | (F.abs(spread - F.col("spread_bps")) > MAX_SPREAD_DIFFERENCE) if "spread_bps" in df.columns else spread < 0
     checks = [
-        ("G6", (F.col("ts_ms") < 946_684_800_000) | (F.col("ts_ms") > now_ms), "E"),
+        ("G6", (F.col("ts_ms") < EPOCH_2000_MS) | (F.col("ts_ms") > now + FUTURE_SLACK_MS), "E"),
         ("MO", gap < 0, "E"),
-        ("GAP", gap > 60_000, "W"),
+        ("GAP", gap > MAX_GAP_MS, "W"),
         ("G1", _bad("bid") | _bad("ask"), "E"),
         ("XQ", fine & (F.col("ask") < F.col("bid")), "E"),
-        ("G8", F.col("accepted") > 64, "E"),
+        ("G8", F.col("accepted") > MAX_ACCEPTED, "E"),
         ("G10E", (zero == 2) & ~sentinel & ~bookless, "E"),
         ("G10W", (zero == 1) & ~sentinel & ~bookless, "W"),
-        ("G11", F.col("rejected") > F.col("accepted"), "W"),
-        ("G7", fine & (S.spread_bps() < 0), "E"),
-        ("G3", F.col("ci_ubp") > 0.01 * F.col("m"), warn),
-        ("G5", ~sentinel & (gap <= 60_000) & (F.abs(F.col("m") - F.col("pm")) > 0.1 * F.col("pm")), warn),
-        ("G4", S.confidence_ratio() < 0.5, warn),
+        ("G11", ~sentinel & (F.col("rejected") > F.col("accepted")), "W"),
+        ("G7", fine & wrong, "E"),
+        ("G3", F.col("ci_ubp") > MAX_CI * F.col("m"), warn),
+        ("G5", quote & (F.coalesce(gap, F.lit(0)) <= MAX_GAP_MS) & (F.abs(F.col("m") - F.col("pm")) > MAX_JUMP * F.col("pm")), warn),
+        ("G4", _stale(), warn),
     ]
     found = F.filter(F.array(*(F.when(bad, F.struct(F.lit(code).alias("code"), F.lit(s).alias("severity"))) for code, bad, s in checks)), lambda x: x.isNotNull())
     return t.select("ticker_id", "event_id", F.explode(found).alias("x")).select("ticker_id", "event_id", "x.code", "x.severity")
 
 
+def shard_findings(df: DataFrame, order=("event_id",), strict: bool = False, run: int = STUCK_RUN, sample: int = STUCK_SAMPLE, distinct: float = STUCK_DISTINCT) -> DataFrame:
+    """(ticker_id, date, code, severity) of whole shards: a run of equal mids (G9), few different mids (G9D), and, if
+    ``strict``, wide intervals (STC) and wide spreads (STS). Sentinels and broken quotes count for nothing."""
+    day = F.floor(F.col("ts_ms") / c.DAY_MS)
+    t = df.where(~_flag(c.SENTINEL) & ~_bad("bid") & ~_bad("ask") & (F.col("ask") >= F.col("bid"))).withColumns({"day": day, "m": S.mid()})
+    w = Window.partitionBy("ticker_id", "day").orderBy(*order)
+    t = t.withColumn("new", F.coalesce(F.col("m") != F.lag("m").over(w), F.lit(True)).cast("int"))
+    t = t.withColumn("run", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = t.groupBy("ticker_id", "day", "run").agg(F.count("*").alias("n"), F.first("m").alias("m"), F.sum(F.col("ci_ubp") / F.col("m")).alias("ci"), F.sum((S.spread_bps() > WIDE_BPS).cast("int")).alias("wide"))
+    n = F.sum("n")
+    shards = runs.groupBy("ticker_id", "day").agg(n.alias("n"), F.max("n").alias("longest"), (F.count_distinct("m") / n).alias("distinct"), (F.sum("ci") / n).alias("ci"), (F.sum("wide") / n).alias("wide"))
+    warn = "E" if strict else "W"
+    checks = [("G9", F.col("longest") >= run), ("G9D", (F.col("n") >= sample) & (F.col("distinct") < distinct))]
+    checks += [("STC", F.col("ci") >= STRICT_CI), ("STS", F.col("wide") >= STRICT_WIDE)] if strict else []
+    found = F.filter(F.array(*(F.when(bad, F.lit(code)) for code, bad in checks)), lambda x: x.isNotNull())
+    out = shards.select("ticker_id", F.date_from_unix_date(F.col("day").cast("int")).alias("date"), F.explode(found).alias("code"))
+    return out.withColumn("severity", F.lit(warn))
+
+
 def bar_findings(bars: DataFrame, ms: int) -> DataFrame:
     """(ticker_id, open_ts_ms, code): grid, order and price checks of bars."""
     w = Window.partitionBy("ticker_id").orderBy("open_ts_ms")
@@ -87,16 +130,25 @@ def worst(df: DataFrame, by: str, k: int, ties: str) -> DataFrame:
 
 
 def session_overlap(gaps_: DataFrame, rows: DataFrame) -> DataFrame:
-    """Adds to each gap the time that it takes from its days' sessions (first to last row of the day, all tickers)."""
-    days = rows.groupBy(F.floor(F.col("ts_ms") / c.DAY_MS).alias("day")).agg(F.min("ts_ms").alias("s"), F.max("ts_ms").alias("e"))
+    """Adds to each gap the time that it takes from its days' sessions (the ticker's own first to last row of the day)."""
+    days = rows.groupBy("ticker_id", F.floor(F.col("ts_ms") / c.DAY_MS).alias("day")).agg(F.min("ts_ms").alias("s"), F.max("ts_ms").alias("e"))
     spread = gaps_.withColumn("day", F.explode(F.sequence(F.floor(F.col("from_ms") / c.DAY_MS), F.floor(F.col("to_ms") / c.DAY_MS))))
     over = F.greatest(F.lit(0), F.least("to_ms", "e") - F.greatest("from_ms", "s"))
-    return spread.join(days, "day").groupBy("ticker_id", "from_ms", "to_ms", "gap_ms").agg(F.sum(over).cast("bigint").alias("active_ms"))
+    return spread.join(days, ["ticker_id", "day"]).groupBy("ticker_id", "from_ms", "to_ms", "gap_ms").agg(F.sum(over).cast("bigint").alias("active_ms"))
 
 
-def classify_gaps(overlapped: DataFrame, max_gap_ms: int = 120_000, quiet_ms: int = 60_000) -> DataFrame:
-    kind = F.when(F.col("active_ms") <= max_gap_ms, "closed").when(F.col("gap_ms") <= quiet_ms, "quiet").otherwise("OUTAGE")
-    return overlapped.withColumn("kind", kind)
+def classify_gaps(overlapped: DataFrame, rows: DataFrame, max_gap_ms: int = 120_000, quiet_ms: int = 60_000) -> DataFrame:
+    """Adds ``kind``: closed within ``max_gap_ms`` of session time; quiet up to ``quiet_ms`` where a sentinel stands at an end, or
+    the ticker of ``rows`` has none anywhere; else OUTAGE."""
+    at = rows.where(_flag(c.SENTINEL)).select("ticker_id", "ts_ms").distinct()
+    any_ = at.select(F.col("ticker_id").alias("t0")).distinct()
+    start, end = (at.select(F.col("ticker_id").alias(t), F.col("ts_ms").alias(x)) for t, x in (("t1", "x1"), ("t2", "x2")))
+    j = overlapped.join(any_, F.col("ticker_id") == F.col("t0"), "left")
+    j = j.join(start, (F.col("ticker_id") == F.col("t1")) & (F.col("from_ms") == F.col("x1")), "left")
+    j = j.join(end, (F.col("ticker_id") == F.col("t2")) & (F.col("to_ms") == F.col("x2")), "left")
+    excused = F.col("t0").isNull() | F.col("t1").isNotNull() | F.col("t2").isNotNull()
+    kind = F.when(F.col("active_ms") <= max_gap_ms, "closed").when(excused & (F.col("gap_ms") <= quiet_ms), "quiet").otherwise("OUTAGE")
+    return j.select(*overlapped.columns, kind.alias("kind"))
 
 
 def flat_runs(df: DataFrame, value: Column, order: tuple[str, ...], least: int = 1) -> DataFrame:
@@ -116,7 +168,7 @@ def distinct_mids(df: DataFrame) -> DataFrame:
 def file_stats(df: DataFrame) -> DataFrame:
     s = S.spread_bps()
     return df.groupBy("ticker_id").agg(
-        F.avg(F.col("ci_ubp") / S.mid()).alias("ci_ratio"), F.avg(s).alias("mean_spread"), F.max(s).alias("max_spread"), F.avg(F.when(s > 1.5, 1.0).otherwise(0.0)).alias("wide"),
+        F.avg(F.col("ci_ubp") / S.mid()).alias("ci_ratio"), F.avg(s).alias("mean_spread"), F.max(s).alias("max_spread"), F.avg(F.when(s > WIDE_BPS, 1.0).otherwise(0.0)).alias("wide"),
         ((F.max("ts_ms") - F.min("ts_ms")) / 3_600_000).alias("hours"), (F.sum("rejected") / (F.sum("accepted") + F.sum("rejected"))).alias("reject_rate"),
     )
 

@@ -109,26 +109,109 @@ _GAPS = "select ticker_id, p as from_ms, ts_ms as to_ms, ts_ms - p as gap_ms fro
 _SEVERITY = "case when gap_ms >= 3600000 then 'CRITICAL' when gap_ms >= 300000 then 'MAJOR' when gap_ms >= 60000 then 'MINOR' end as severity"
 _CONF = "(case when flags & 64 <> 0 then (confidence & 127) / accepted::double when flags & 8 <> 0 then confidence / 255.0::double else confidence / accepted::double end)"
 
-_FINDINGS = f"""
+_NOW = 1_706_000_000_000
+_FAULTY = """
+faulty as (
+  select event_id, ticker_id, provider_id, case when event_id % 211 = 0 then ts_ms - 7200000 else ts_ms end as ts_ms, case when event_id % 137 = 0 then 0 else bid end as bid, ask, vbid, vask, ci_ubp, tick_count,
+         (case when event_id % 26 = 0 then 130 when event_id % 34 = 0 then 200 else confidence end)::int as confidence, case when event_id % 131 = 0 then 70 else accepted end as accepted, rejected,
+         flags | (case when event_id % 13 = 0 then 64 when event_id % 17 = 0 then 8 else 0 end)::int as flags,
+         (ask - bid) / ((bid + ask) * 0.5::double) * 10000 + case when event_id % 103 = 0 then 2.0::double else 0 end as spread_bps
+  from records)"""
+
+
+def _findings(source: str, now: int) -> str:
+    return f"""
+valued as (
+  select *, (bid + ask) * 0.5::double as m, flags & 1 = 0 and bid >= 1e-9 and ask >= 1e-9 and ask >= bid as quote, (vbid = 0)::int + (vask = 0)::int as zero from {source}),
 seen as (
-  select *, (bid + ask) * 0.5::double as m, lag(ts_ms) over w as pts, lag(case when flags & 1 = 0 then (bid + ask) * 0.5::double end) over w as pm, (vbid = 0)::int + (vask = 0)::int as zero
-  from records window w as (partition by ticker_id order by ts_ms, event_id)),
+  select *, lag(ts_ms) over w as pts, last_value(case when quote then m end ignore nulls) over (w rows between unbounded preceding and 1 preceding) as pm,
+         (ask - bid) / m * 10000 as s
+  from valued window w as (partition by ticker_id, ts_ms // {DAY} order by event_id)),
 findings as (
   select ticker_id, event_id, unnest(list_filter([
-    case when ts_ms < 946684800000 or ts_ms > 4102444800000 then 'G6 E' end, case when ts_ms < pts then 'MO E' end, case when ts_ms - pts > 60000 then 'GAP W' end,
+    case when ts_ms < 946684800000 or ts_ms > {now} + 300000 then 'G6 E' end, case when ts_ms < pts then 'MO E' end, case when ts_ms - pts > 60000 then 'GAP W' end,
     case when bid < 1e-9 or ask < 1e-9 then 'G1 E' end, case when ask < bid then 'XQ E' end, case when accepted > 64 then 'G8 E' end,
-    case when zero = 2 and flags & 3 = 0 then 'G10E E' end, case when zero = 1 and flags & 3 = 0 then 'G10W W' end, case when rejected > accepted then 'G11 W' end,
-    case when (ask - bid) / m * 10000 < 0 then 'G7 E' end, case when ci_ubp > 0.01::double * m then 'G3 W' end,
-    case when flags & 1 = 0 and ts_ms - pts <= 60000 and abs(m - pm) > 0.1::double * pm then 'G5 W' end, case when {_CONF} < 0.5 then 'G4 W' end],
+    case when zero = 2 and flags & 3 = 0 then 'G10E E' end, case when zero = 1 and flags & 3 = 0 then 'G10W W' end, case when flags & 1 = 0 and rejected > accepted then 'G11 W' end,
+    case when s < 0 or abs(s - spread_bps) > 0.5::double then 'G7 E' end, case when ci_ubp > 0.01::double * m then 'G3 W' end,
+    case when quote and coalesce(ts_ms - pts, 0) <= 60000 and abs(m - pm) > 0.1::double * pm then 'G5 W' end,
+    case when flags & 64 <> 0 then (case when confidence & 127 < 2 or confidence & 128 = 0 then 'G4 W' end) when flags & 8 <> 0 and confidence / 255.0::double < 0.05 then 'G4 W' end],
     lambda x: x is not null)) as x
   from seen),
 found as (select ticker_id, event_id, split_part(x, ' ', 1) as code, split_part(x, ' ', 2) as severity from findings)"""
 
+
+_FINDINGS = _FAULTY + "," + _findings("faulty", _NOW)
+_KEPT = """,
+kept as (
+  select * from faulty
+  where ticker_id <> 4 or (event_id % 13 > 0 and event_id % 17 > 0 and event_id % 101 > 0 and event_id % 103 > 0 and event_id % 131 > 0 and event_id % 137 > 0 and event_id % 211 > 0)),
+deep as (select * from kept where vbid + vask > 0)"""
+
+
+def _stuck(source: str, run: int, sample: int, distinct: float, strict: bool) -> str:
+    """Findings of whole shards: (ticker_id, day, code)."""
+    more = ", case when ci >= 0.001 then 'STC' end, case when wide >= 0.005 then 'STS' end" if strict else ""
+    return f"""
+shard_rows as (
+  select *, (bid + ask) * 0.5::double as m, ts_ms // {DAY} as day from {source} where flags & 1 = 0 and bid >= 1e-9 and ask >= 1e-9 and ask >= bid),
+shard_runs as (
+  select *, sum(new) over (partition by ticker_id, day order by event_id) as run
+  from (select *, case when m = lag(m) over (partition by ticker_id, day order by event_id) then 0 else 1 end as new from shard_rows)),
+shard_facts as (
+  select ticker_id, day, sum(n) as n, max(n) as longest from (select ticker_id, day, run, count(*) as n from shard_runs group by all) group by all),
+shard_more as (
+  select ticker_id, day, count(distinct m) / count(*)::double as distinct_part, avg(ci_ubp / m) as ci, avg(((ask - bid) / m * 10000 > 500)::int) as wide from shard_rows group by all),
+stuck as (
+  select ticker_id, day, unnest(list_filter([case when longest >= {run} then 'G9' end, case when n >= {sample} and distinct_part < {distinct} then 'G9D' end{more}], lambda x: x is not null)) as code
+  from shard_facts join shard_more using (ticker_id, day))"""
+
+
+def _series(source: str, ms: int, floor: float = 0.0) -> str:
+    """Findings of bars (with kind and microstructure) against the ticker's bar before."""
+    odd = " or ".join(f"isnan({x}) or isinf({x})" for x in ("open", "high", "low", "close"))
+    return f"""
+before as (
+  select *, lag(close_ts_ms) over w as p_end, lag(close) over w as p_close, lag(kind) over w as p_kind, ({odd}) as broken
+  from {source} window w as (partition by ticker_id order by open_ts_ms // {DAY}, open_ts_ms, close_ts_ms)),
+series as (
+  select ticker_id, open_ts_ms, unnest(list_filter([
+    case when kind not between 0 and 3 then 'KIND E' end, case when open_ts_ms > close_ts_ms then 'TIME E' end, case when broken then 'OHLC E' end,
+    case when not broken and high < greatest(open, close, low) then 'HIGH E' end, case when not broken and low > least(open, close, high) then 'LOW E' end,
+    case when realized_var < 0 then 'VAR E' end, case when kind = 0 and open_ts_ms % {ms} <> 0 then 'GRID E' end,
+    case when kind = 0 and p_kind = 0 and (close_ts_ms - p_end) % {ms} <> 0 then 'SPACE E' end,
+    case when kind = 0 and p_kind = 0 and close_ts_ms - p_end > {ms} and (close_ts_ms - p_end) % {ms} = 0 then 'SGAP W' end,
+    case when abs(vol_imbalance) > 1.001 then 'IMB E' end, case when avg_spread_bps < 0 then 'SPRD E' end, case when max_abs_return < 0 then 'RET E' end, case when abs(drift) > 1 then 'DRIFT W' end,
+    case when kind = 0 and p_kind = 0 and open_ts_ms <> p_end + 1 then 'KGAP W' end,
+    case when kind = 1 and p_kind = 1 and abs(p_close - open) > abs(p_close) * 1e-12::double + 1e-12::double then 'BRICK E' end,
+    case when kind = 1 and not broken and open > 0 and abs(close - open) < open * {floor}::double then 'FLOOR E' end], lambda x: x is not null)) as x
+  from before),
+series_found as (select ticker_id, open_ts_ms, split_part(x, ' ', 1) as code, split_part(x, ' ', 2) as severity from series)"""
+
+
+_PLAIN = "0.5::double as realized_var, 0.5::double as vol_imbalance, 1.0::double as avg_spread_bps, 0.1::double as max_abs_return, 0.0::double as drift"
+
+
+def _kinds(source: str, least: int, most: int, quiet: int) -> str:
+    return f"""
+session_gaps as (
+  select ticker_id, p as from_ms, ts_ms as to_ms, ts_ms - p as gap_ms from (select *, lag(ts_ms) over (partition by ticker_id order by ts_ms, event_id) as p from {source}) where ts_ms - p > {least}),
+sessions as (select ticker_id, ts_ms // {DAY} as day, min(ts_ms) as s, max(ts_ms) as e from {source} group by all),
+marks as (select distinct ticker_id, ts_ms from {source} where flags & 1 <> 0),
+active as (
+  select g.ticker_id, from_ms, to_ms, gap_ms, sum(greatest(0, least(to_ms, e) - greatest(from_ms, s)))::bigint as active_ms
+  from session_gaps g join sessions s on g.ticker_id = s.ticker_id and day between from_ms // {DAY} and to_ms // {DAY} group by all),
+kinds as (
+  select *, case when active_ms <= {most} then 'closed'
+                 when gap_ms <= {quiet} and (ticker_id not in (select ticker_id from marks) or (ticker_id, from_ms) in (select (ticker_id, ts_ms) from marks) or (ticker_id, to_ms) in (select (ticker_id, ts_ms) from marks)) then 'quiet'
+                 else 'OUTAGE' end as kind
+  from active)"""
+
+
 _VERDICT = """
 verdicts as (
   select t.ticker_id, rows, coalesce(errors, 0)::bigint as errors, coalesce(warnings, 0)::bigint as warnings, coalesce(reasons, '') as reasons,
          case when rows = 0 then 'NO_DATA' when coalesce(errors, 0) > 0 then 'FAIL' else 'PASS' end as verdict
-  from (select ticker_id, count(*) as rows from records group by ticker_id) t
+  from (select r.ticker_id, count(k.ticker_id) as rows from (select unnest(range(1, 7)) as ticker_id) r left join kept k using (ticker_id) group by all) t
   left join (
     select ticker_id, count(*) filter (where severity = 'E') as errors, count(*) filter (where severity = 'W') as warnings, string_agg(distinct code, ',' order by code) filter (where severity = 'E') as reasons
     from found group by ticker_id) f using (ticker_id))"""
@@ -205,7 +288,16 @@ least(sum(tick_count), 65535)::bigint as tick_count, max(confidence) as confiden
 from records group by ticker_id, ts_ms - ts_ms % {BAR}"""),
     "resample_last": _with(_RECORDS, f"""select ticker_id, ts_ms - ts_ms % {BAR} as ts_ms, event_id, provider_id, round(bid, 6) as bid, round(ask, 6) as ask, vbid, vask, round(ci_ubp, 6) as ci_ubp, tick_count, confidence, accepted, rejected, flags | 16 as flags
 from records qualify row_number() over (partition by ticker_id, ts_ms // {BAR} order by ts_ms desc, event_id desc) = 1"""),
-    "resample_invariants": "select unnest(['grid', 'unique', 'healed', 'lost', 'invented']) as invariant, 0::bigint as violations",
+    "resample_invariants": _with(_RECORDS, f"""select name as invariant, n::bigint as violations from (
+with last as (select ticker_id, ts_ms - ts_ms % {BAR} as bin, arg_max(event_id, (ts_ms, event_id)) as e, arg_max(flags, (ts_ms, event_id)) | 16 as flags from records group by all),
+once as (select ticker_id, case when e % 37 = 0 then bin + 7 else bin end as ts_ms, e, case when e % 41 = 0 then flags - 16 else flags end as flags from last where e % 31 <> 0),
+made as (select * from once union all select * from once where e % 43 = 0),
+bins as (select distinct ticker_id, ts_ms - ts_ms % {BAR} as ts_ms from records)
+select 'grid' as name, count(*) as n from made where ts_ms % {BAR} <> 0
+union all select 'unique', count(*) from (select 1 from made group by ticker_id, ts_ms having count(*) > 1)
+union all select 'healed', count(*) from made where flags & 16 = 0
+union all select 'lost', count(*) from bins where (ticker_id, ts_ms) not in (select (ticker_id, ts_ms) from made)
+union all select 'invented', count(*) from made where (ticker_id, ts_ms) not in (select (ticker_id, ts_ms) from bins))"""),
     "rs_sigma": _with(_VOL, "select ticker_id, bin_ts_ms, round(sigma_pct, 9) as sigma_pct from vol"),
     "ema_sigma": _with(_VOL + """,
 numbered as (select *, row_number() over w as n, avg(sigma_pct) over w as early from vol window w as (partition by ticker_id order by bin_ts_ms)),
@@ -235,8 +327,7 @@ run as (
         "select ticker_id, open_ts_ms, (case when u > 2 then 1 else -1 end)::int as side from run where hit", True),
     "flat_runs": _with(_RECORDS, """select ticker_id, run, count(*) as n, min(ts_ms) as start_ms from (select *, sum(new) over (partition by ticker_id order by ts_ms, event_id)::bigint as run from (select *, (case when v = lag(v) over (partition by ticker_id order by ts_ms, event_id) then 0 else 1 end) as new from (select *, floor(m / 25) as v from clean))) group by ticker_id, run having count(*) >= 2"""),
     "zero_tick_runs": _with(_FILLED, """select ticker_id, run, count(*) as n, min(open_ts_ms) as start_ms from (select *, sum(new) over (partition by ticker_id order by open_ts_ms)::bigint as run from (select *, (case when v = lag(v) over (partition by ticker_id order by open_ts_ms) then 0 else 1 end) as new from (select *, tick_count = 0 as v from filled))) where v group by ticker_id, run having count(*) >= 5"""),
-    "gap_classify": _with(_RECORDS + f",\ngaps as ({_GAPS.format(least=5_400_000)}),\nsessions as (select ts_ms // {DAY} as day, min(ts_ms) as s, max(ts_ms) as e from clean group by 1)",
-        f"select *, case when active_ms <= 6000000 then 'closed' when gap_ms <= 5800000 then 'quiet' else 'OUTAGE' end as kind from (select ticker_id, from_ms, to_ms, gap_ms, sum(greatest(0, least(to_ms, e) - greatest(from_ms, s)))::bigint as active_ms from gaps join sessions on day between from_ms // {DAY} and to_ms // {DAY} group by all)"),
+    "gap_classify": _with(_RECORDS + ",\nalive as (select * from records where bid > 0 and ask > 0 and ask >= bid and (ticker_id > 2 or flags % 2 = 0))," + _kinds("alive", 5_400_000, 6_000_000, 9_000_000), "select * from kinds"),
     "worst_gaps_topk": _with(_RECORDS + f",\ngaps as ({_GAPS.format(least=0)})", f"select ticker_id, from_ms, to_ms, gap_ms, {_SEVERITY}, rank::int as rank from (select *, row_number() over (partition by ticker_id order by gap_ms desc, to_ms) as rank from gaps) where rank <= 10"),
     "missing_days": _with(_DAYS, f"select ticker_id, strftime(date, '%Y-%m-%d') as date from ({_MISSING.format(source='days')})"),
     "leg_days": _with(_DAYS, "select ticker_id, strftime(date, '%Y-%m-%d') as date from (select ticker_id, date from days intersect select ticker_id - 1, date from days)"),
@@ -249,20 +340,83 @@ case when high < greatest(open, close, low) then 'HIGH' end, case when low > lea
 select *, lag(last) over (partition by ticker_id order by d) as before from (select ticker_id, make_timestamp(open_ts_ms * 1000)::date as d, min(open_ts_ms) as first, max(close_ts_ms) as last from bars group by all)) where before is not null"""),
     "coverage_k3": _with(_BARS, f"""select ticker_id, day, round(share, 6) as share, case when share < 0.5 then 'FAIL' when share < 0.8 then 'WARN' else 'OK' end as level from (
 select *, n / slots as share, min(day) over (partition by ticker_id) as a, max(day) over (partition by ticker_id) as b from (select ticker_id, open_ts_ms // {DAY} as day, count(*) as n, (max(open_ts_ms) - min(open_ts_ms)) / {BAR}::double + 1 as slots from bars group by all)) where day > a and day < b"""),
-    "rollup_parity": _with(_FILLED, f"select true as equal, count(*) as n from (select distinct ticker_id, open_ts_ms // {ROLL} from filled)"),
+    "rollup_parity": _with(_FILLED, f"select b % 7 <> 3 and b % 5 <> 0 as equal, count(*) as n from (select distinct ticker_id, open_ts_ms // {ROLL} as b from filled) group by 1"),
     "integrity_findings": _with(_RECORDS + "," + _FINDINGS, "select * from found"),
+    "stuck_shards": _with(_RECORDS + """,
+coarse as (select * replace (round(bid / 4) * 4 as bid, round(bid / 4) * 4 + case when event_id % 397 = 0 then 12.0::double else 0.02::double end as ask) from records),""" + _stuck("coarse", 3, 8, 0.3, True),
+        f"select ticker_id, strftime(make_timestamp(day * {DAY} * 1000), '%Y-%m-%d') as date, code, 'E' as severity from stuck"),
+    "bar_series": _with(_BARS + """,
+bent as (
+  select ticker_id, case v when 5 then open_ts_ms + 7 when 6 then close_ts_ms + 1 else open_ts_ms end as open_ts_ms, open, case v when 2 then low - 1 when 3 then 'nan'::double else high end as high, case v when 4 then high + 1 else low end as low, close,
+         case v when 7 then close_ts_ms + 3 else close_ts_ms end as close_ts_ms, case v when 1 then 9 else 0 end as kind, case v when 8 then -1.0::double else 0.5 end as realized_var, case v when 9 then 1.5::double else 0.5 end as vol_imbalance,
+         case v when 10 then -2.0::double else 1 end as avg_spread_bps, case v when 11 then -0.1::double else 0.1 end as max_abs_return, case v when 12 then 3.0::double else 0 end as drift
+  from (select *, vbid % 23 as v from bars)),""" + _series("bent", BAR), "select * from series_found"),
+    "brick_series": _with(_BARS + f""",
+rolled as ({_roll("bars", ROLL)}),
+blocks as (select * replace (case when vbid % 3 > 0 then open else close end as open), 1 as kind, {_PLAIN} from rolled),""" + _series("blocks", ROLL, 0.02), "select * from series_found"),
+    "shard_directory": f"""select ticker_id, strftime(date, '%Y-%m-%d') as date, name, split_part(x, ' ', 1) as code, split_part(x, ' ', 2) as severity from (
+select *, unnest(list_filter([case when bytes = 0 then 'EMPTY W' end, case when bytes % 56 <> 0 then 'TORN E' end, case when ticker_id = 5 then 'DIR E' end, case when o_orderkey % 5 = 0 then 'OUT E' end,
+  case when count(*) over (partition by ticker_id, date) > 1 then 'TWIN E' end], lambda x: x is not null)) as x
+from (select o_orderkey, o_custkey % 40 as ticker_id, o_orderdate::date as date, 'f' || o_orderkey as name, case when o_orderkey % 11 = 0 then 0 when o_orderkey % 7 = 0 then 100 else 112 end as bytes from orders))""",
+    "capped_findings": _with(_RECORDS + "," + _FINDINGS, "select * from (select *, count(*) over (partition by ticker_id, code) as total, row_number() over (partition by ticker_id, code order by event_id)::int as nth from found) where nth <= 3"),
+    "last_bars": _with(_BARS, f"select {_NAMES} from (select *, row_number() over (partition by ticker_id order by open_ts_ms desc) as nth from bars) where nth <= 20"),
+    "vol_index": _with(_BARS, f"""select ticker_id, bin_ts_ms, case when r is null then 'vol' else 'idx' end as kind
+from (select ticker_id, open_ts_ms as bin_ts_ms, 1 as v from bars where open_ts_ms // {BAR} % 9 <> 4) full join (select distinct ticker_id, ts_ms - ts_ms % {BAR} as bin_ts_ms, 1 as r from clean where ts_ms % {DAY} > 7200000) using (ticker_id, bin_ts_ms)
+where v is null or r is null"""),
+    "audit_families": _with(_FILLED + "," + _FAULTY + f""",
+audited as (
+  select * replace (case when flat then 150.0::double else bid end as bid, case when flat then 150.25::double else ask end as ask)
+  from (select *, ticker_id = 3 and ts_ms // {DAY} % 7 = 0 and bid > 0 as flat from faulty) where (ticker_id <> 2 or ts_ms % (5 * {DAY}) > {DAY}) and (ticker_id <> 4 or ts_ms % {DAY} < 40000000)),
+b1 as (
+  select * replace (case when ticker_id = 1 and vbid % 23 = 2 then low - 1 else high end as high, case when ticker_id = 5 and vbid % 29 = 5 then open_ts_ms + 7 else open_ts_ms end as open_ts_ms), 0 as kind, {_PLAIN}
+  from filled where ticker_id <> 3 or open_ts_ms % {DAY} < {4 * BAR} or open_ts_ms % {DAY} > {44 * BAR}),"""
+        + _findings("audited", _NOW) + "," + _stuck("audited", 4, 5, 0.5, False) + "," + _series("b1", BAR) + "," + _kinds("audited", 5_400_000, 5_400_000, 6_000_000)
+        + f""",
+fine as ({_roll("b1", ROLL)}),
+coarse as ({_roll("filled", ROLL)}),
+pairs as (
+  select ticker_id, (a.open, a.high, a.low, a.close, a.vbid, a.vask, a.tick_count) is not distinct from (b.open, b.high, b.low, b.close, b.vbid, b.vask, b.tick_count) as same from fine a full join coarse b using (ticker_id, open_ts_ms)),
+bar_days as (
+  select ticker_id, day, n / ((b - a) / {BAR}::double + 1) as share, min(day) over (partition by ticker_id) as d0, max(day) over (partition by ticker_id) as d1
+  from (select ticker_id, open_ts_ms // {DAY} as day, count(*) as n, min(open_ts_ms) as a, max(open_ts_ms) as b from b1 group by all)),
+runs0 as (
+  select ticker_id, run, count(*) as n from (
+    select *, sum(new) over (partition by ticker_id order by open_ts_ms) as run from (
+      select *, case when v = lag(v) over (partition by ticker_id order by open_ts_ms) then 0 else 1 end as new from (select *, tick_count = 0 as v from b1))) where v group by all),
+counts as (
+  select r.ticker_id,
+    (select count(*) from audited x where x.ticker_id = r.ticker_id) as rows,
+    (select count(*) from kinds x where x.ticker_id = r.ticker_id and kind = 'OUTAGE') as outages,
+    (select coalesce(max(d) - min(d) + 1 - count(*), 0)::bigint from (select distinct ts_ms // {DAY} as d from audited x where x.ticker_id = r.ticker_id)) as missing_days,
+    (select count(*) from found x where x.ticker_id = r.ticker_id and severity = 'E' and code not like 'G10%') as invariants,
+    (select count(*) from series_found x where x.ticker_id = r.ticker_id and severity = 'E' and code not in ('GRID', 'SPACE')) as bar_faults,
+    (select count(*) from series_found x where x.ticker_id = r.ticker_id and code in ('GRID', 'SPACE')) as off_grid,
+    (select count(*) from bar_days x where x.ticker_id = r.ticker_id and share < 0.5 and day > d0 and day < d1) as low_coverage,
+    (select count(*) from runs0 x where x.ticker_id = r.ticker_id and n >= 4) as zero_runs,
+    (select count(*) from pairs x where x.ticker_id = r.ticker_id and not same) as parity,
+    (select count(*) from stuck x where x.ticker_id = r.ticker_id) as stuck
+  from (select unnest(range(1, 7)) as ticker_id) r),
+told as (
+  select *, array_to_string(list_filter([{", ".join(f"case when {x} > 0 then '{x}=' || {x} end" for x in ("outages", "missing_days", "invariants", "bar_faults", "off_grid", "low_coverage", "zero_runs", "parity", "stuck"))}], lambda x: x is not null), ',') as why
+  from counts)""",
+        "select * exclude (why), case when rows > 0 then why else '' end as reasons, case when rows = 0 then 'NO_DATA' when why <> '' then 'FAIL' else 'PASS' end as verdict from told"),
     "vol_findings": _with(_BARS + f",\nraw as ({_rs('bars')}),\nvol as (select ticker_id, bin_ts_ms, case when bin_ts_ms // {BAR} % 13 = 0 then 'nan'::double else sigma_pct * 2 end as s, bin_ts_ms - lag(bin_ts_ms) over (partition by ticker_id order by bin_ts_ms) as step from raw)",
         f"select ticker_id, bin_ts_ms, unnest(list_filter([case when isnan(s) then 'NONFINITE' end, case when s < 0 or s >= 5 then 'RANGE' end, case when s > 0.5 then 'HIGH' end, case when step <= 0 then 'ORDER' end, case when step > {BAR} then 'GAP' end], lambda x: x is not null)) as code from vol"),
-    "file_stats": _with(_RECORDS, """select ticker_id, round(avg(ci_ubp / m), 6) as ci_ratio, round(avg(s), 6) as mean_spread, round(max(s), 6) as max_spread, round(avg(case when s > 1.5 then 1.0::double else 0 end), 6) as wide, round((max(ts_ms) - min(ts_ms)) / 3600000.0::double, 6) as hours, round(sum(rejected) / (sum(accepted) + sum(rejected))::double, 6) as reject_rate
-from (select *, (ask - bid) / m * 10000 as s from (select *, (bid + ask) * 0.5::double as m from records where bid > 0 and ask > 0 and ask >= bid)) group by ticker_id"""),
+    "file_stats": _with(_RECORDS, """select ticker_id, round(avg(ci_ubp / m), 6) as ci_ratio, round(avg(s), 6) as mean_spread, round(max(s), 6) as max_spread, round(avg(case when s > 500 then 1.0::double else 0 end), 6) as wide, round((max(ts_ms) - min(ts_ms)) / 3600000.0::double, 6) as hours, round(sum(rejected) / (sum(accepted) + sum(rejected))::double, 6) as reject_rate
+from (select *, (a - bid) / m * 10000 as s from (select *, (bid + a) * 0.5::double as m from (select *, case when event_id % 89 = 0 then ask * 1.2::double else ask end as a from records where bid > 0 and ask > 0 and ask >= bid))) group by ticker_id"""),
     "distinct_mids": _with(_RECORDS, "select ticker_id, count(distinct m) as distinct_mids, round(count(distinct m) / count(*)::double, 6) as fraction from clean group by ticker_id"),
     "glue_status": _with(_RECORDS + "," + _DAYS + f",\ngaps as ({_GAPS.format(least=0)}),\nlost as ({_MISSING.format(source='days')})",
         """select ticker_id, coalesce(gaps, 0) as gaps, coalesce(missing, 0) as missing, case when coalesce(missing, 0) > 0 then 'ERROR' when coalesce(gaps, 0) > 0 then 'WARN' else 'OK' end as status
 from (select distinct ticker_id from clean) left join (select ticker_id, count(*) filter (where gap_ms > 7200000) as gaps from gaps group by ticker_id) using (ticker_id) left join (select ticker_id, count(*) as missing from lost group by ticker_id) using (ticker_id)"""),
-    "audit_verdict": _with(_RECORDS + "," + _FINDINGS + "," + _VERDICT, "select * from verdicts"),
-    "audit_exit": _with(_RECORDS + "," + _FINDINGS + "," + _VERDICT, "select max(case when errors > 0 then 2 when warnings > 0 then 1 else 0 end)::int as code, count(*) filter (where verdict = 'PASS') as pass, count(*) filter (where verdict = 'FAIL') as fail, count(*) filter (where verdict = 'NO_DATA') as no_data from verdicts"),
+    "audit_verdict": _with(_RECORDS + "," + _FAULTY + _KEPT + "," + _findings("deep", _NOW + 10**11) + "," + _VERDICT, "select * from verdicts"),
+    "audit_exit": _with(_RECORDS + "," + _FAULTY + _KEPT + "," + _findings("deep", _NOW + 10**11) + "," + _VERDICT, "select max(case when errors > 0 then 2 when warnings > 0 then 1 else 0 end)::int as code, count(*) filter (where verdict = 'PASS') as pass, count(*) filter (where verdict = 'FAIL') as fail, count(*) filter (where verdict = 'NO_DATA') as no_data from verdicts"),
     "shard_manifest": _with(_RECORDS, "select ticker_id, strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d') as date, min(ts_ms) as first_ts, max(ts_ms) as last_ts, count(*) as n_records from clean group by all"),
-    "rekeyed_shards": "select 0::bigint as differ",
+    "rekeyed_shards": _with(_RECORDS + """,
+one as (select ticker_id, event_id, ts_ms from clean),
+two as (select case ticker_id when 2 then 102 else ticker_id end as ticker_id, event_id, ts_ms from clean where event_id % 307 <> 0),
+a as (select ticker_id, strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d') as date, min(ts_ms) as first_ts, max(ts_ms) as last_ts, count(*) as n_records from one group by all),
+b as (select ticker_id, strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d') as date, min(ts_ms) as first_ts, max(ts_ms) as last_ts, count(*) as n_records from two group by all)""",
+        "select 'a' as side, * from (select * from a except select * from b) union all select 'b', * from (select * from b except select * from a)"),
     "median_spacing": _with(_RECORDS, "select ticker_id, round(median(d))::bigint as spacing_ms from (select ticker_id, ts_ms - lag(ts_ms) over (partition by ticker_id order by ts_ms, event_id) as d from clean) where d > 0 and d < 86400000 group by ticker_id"),
     "rank_percentiles": _with(_RECORDS, f"select ticker_id, {', '.join(f'v[(round((len(v) - 1) * {p / 100}::double) + 1)::int] as p{p}' for p in (10, 50, 90))} from (select ticker_id, list_sort(list(n)) as v from (select ticker_id, ts_ms // {DAY} as d, count(*) as n from clean group by all) group by ticker_id)"),
     "month_windows": """with span as (select min(o_orderdate)::date as a, max(o_orderdate)::date as b from orders), m as (select a, b, unnest(generate_series(date_trunc('month', a), b, interval 1 month))::date as m from span)

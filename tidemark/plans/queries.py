@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark import config as c
 from tidemark.adapters import records, table, ticks, trades
 from tidemark.functions import scalar as S
+from tidemark.operators import audit as A
 from tidemark.operators import bars as B
 from tidemark.operators import filters as D
 from tidemark.operators import merge as M
@@ -38,6 +39,25 @@ def recs(spark, sf):
     return records(table(spark, sf, "events"))
 
 
+#: The instant at which the checks of records are made.
+NOW = 1_706_000_000_000
+
+
+def faulty(spark, sf):
+    """The records with faults of every kind planted by event number."""
+    e = F.col("event_id")
+    t = recs(spark, sf)
+    conf = F.when(e % 26 == 0, 130).when(e % 34 == 0, 200).otherwise(F.col("confidence"))
+    flags = F.col("flags").bitwiseOR(F.when(e % 13 == 0, c.CONF_ACTIVE).when(e % 17 == 0, c.CONF_FRESHNESS).otherwise(0))
+    t = t.withColumns({"spread_bps": S.spread_bps() + F.when(e % 103 == 0, 2.0).otherwise(0.0), "ts_ms": F.when(e % 211 == 0, F.col("ts_ms") - 7_200_000).otherwise(F.col("ts_ms"))})
+    return t.withColumns({"confidence": conf.cast("int"), "flags": flags.cast("int"), "accepted": F.when(e % 131 == 0, 70).otherwise(F.col("accepted")), "bid": F.when(e % 137 == 0, 0.0).otherwise(F.col("bid"))})
+
+
+def roster(spark):
+    """The tickers there are, and one without data."""
+    return spark.range(1, 7).select(F.col("id").alias("ticker_id"))
+
+
 def clean(spark, sf):
     return D.skip_sentinels(D.valid_quotes(recs(spark, sf)))
 
@@ -177,8 +197,11 @@ def resample_last(spark, sf):
 
 @query
 def resample_invariants(spark, sf):
-    t = recs(spark, sf)
-    return Q.resample_invariants(t, B.resample_last(t, BAR), BAR)
+    """A resampled series with rows lost, moved, doubled and unmarked."""
+    t, e = recs(spark, sf), F.col("event_id")
+    made = B.resample_last(t, BAR).where(e % 31 != 0)
+    made = made.withColumns({"ts_ms": F.when(e % 37 == 0, F.col("ts_ms") + 7).otherwise(F.col("ts_ms")), "flags": F.when(e % 41 == 0, F.col("flags") - c.HEALED).otherwise(F.col("flags"))})
+    return Q.resample_invariants(t, made.union(made.where(e % 43 == 0)), BAR)
 
 
 @query
@@ -236,8 +259,9 @@ def zero_tick_runs(spark, sf):
 
 @query
 def gap_classify(spark, sf):
-    t = clean(spark, sf)
-    return Q.classify_gaps(Q.session_overlap(Q.gaps(t, 5_400_000), t), 6_000_000, 5_800_000)
+    """Sentinels excuse gaps of the tickers that have them at one end only; tickers below 3 have none."""
+    t = D.valid_quotes(recs(spark, sf)).where("ticker_id > 2 or flags % 2 = 0")
+    return Q.classify_gaps(Q.session_overlap(Q.gaps(t, 5_400_000), t), t, 6_000_000, 9_000_000)
 
 
 @query
@@ -276,13 +300,83 @@ def coverage_k3(spark, sf):
 
 @query
 def rollup_parity(spark, sf):
-    fine = filled(spark, sf)
-    return Q.parity(fine, B.rollup(B.rollup(fine, 3_600_000), ROLL), ROLL).groupBy("equal").agg(F.count("*").alias("n"))
+    """Coarse bars, some of which are wrong or missing."""
+    fine, at = filled(spark, sf), F.col("open_ts_ms") / ROLL
+    coarse = B.rollup(B.rollup(fine, 3_600_000), ROLL).where(at % 7 != 3).withColumn("close", F.when(at % 5 == 0, F.col("close") + 1).otherwise(F.col("close")))
+    return Q.parity(fine, coarse, ROLL).groupBy("equal").agg(F.count("*").alias("n"))
 
 
 @query
 def integrity_findings(spark, sf):
-    return Q.record_findings(recs(spark, sf))
+    return Q.record_findings(faulty(spark, sf), now_ms=NOW)
+
+
+@query
+def stuck_shards(spark, sf):
+    """Mids of a coarse grid, with bounds that these short days can reach."""
+    e = F.col("event_id")
+    t = recs(spark, sf).withColumns({"bid": F.round(F.col("bid") / 4) * 4, "ask": F.round(F.col("bid") / 4) * 4 + F.when(e % 397 == 0, 12.0).otherwise(0.02)})
+    out = Q.shard_findings(t, strict=True, run=3, sample=8, distinct=0.3)
+    return out.select("ticker_id", F.col("date").cast("string").alias("date"), "code", "severity")
+
+
+@query
+def bar_series(spark, sf):
+    """Bars and bricks with faults planted by their volume."""
+    v = F.col("vbid") % 23
+    t = bars(spark, sf).withColumns({"kind": F.when(v == 1, 9).otherwise(0), "high": F.when(v == 2, F.col("low") - 1).when(v == 3, F.lit(float("nan"))).otherwise(F.col("high")), "low": F.when(v == 4, F.col("high") + 1).otherwise(F.col("low"))})
+    t = t.withColumns({"open_ts_ms": F.when(v == 5, F.col("open_ts_ms") + 7).when(v == 6, F.col("close_ts_ms") + 1).otherwise(F.col("open_ts_ms")), "close_ts_ms": F.when(v == 7, F.col("close_ts_ms") + 3).otherwise(F.col("close_ts_ms"))})
+    more = t.withColumns({"realized_var": F.when(v == 8, -1.0).otherwise(0.5), "vol_imbalance": F.when(v == 9, 1.5).otherwise(0.5), "avg_spread_bps": F.when(v == 10, -2.0).otherwise(1.0), "max_abs_return": F.when(v == 11, -0.1).otherwise(0.1), "drift": F.when(v == 12, 3.0).otherwise(0.0)})
+    return A.bar_series_findings(more, BAR)
+
+
+@query
+def brick_series(spark, sf):
+    """Roll-ups taken for bricks: continuity and least size."""
+    t = B.rollup(bars(spark, sf), ROLL).withColumns({"kind": F.lit(A.RENKO), "open": F.when(F.col("vbid") % 3 > 0, F.col("open")).otherwise(F.col("close"))})
+    return A.bar_series_findings(t, ROLL, 0.02)
+
+
+@query
+def shard_directory(spark, sf):
+    """Orders as shard files of their customers' days."""
+    o = table(spark, sf, "orders")
+    day = F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint") * c.DAY_MS
+    t = o.select((F.col("o_custkey") % 40).alias("ticker_id"), F.col("o_orderdate").cast("date").alias("date"), F.concat(F.lit("f"), F.col("o_orderkey").cast("string")).alias("name"),
+                 F.when(F.col("o_orderkey") % 11 == 0, 0).when(F.col("o_orderkey") % 7 == 0, 100).otherwise(112).cast("bigint").alias("bytes"), F.lit(56).cast("bigint").alias("record_bytes"), (F.col("o_custkey") % 40 != 5).alias("known"),
+                 day.alias("first_ms"), (day + F.when(F.col("o_orderkey") % 5 == 0, c.DAY_MS).otherwise(5)).alias("last_ms"))
+    return A.directory_findings(t).select("ticker_id", F.col("date").cast("string").alias("date"), "name", "code", "severity")
+
+
+@query
+def capped_findings(spark, sf):
+    return A.capped_samples(Q.record_findings(faulty(spark, sf), now_ms=NOW), 3)
+
+
+@query
+def last_bars(spark, sf):
+    return rounded(A.last_bars(bars(spark, sf), 20))
+
+
+@query
+def vol_index(spark, sf):
+    """Volatility bins and records of which each lacks some."""
+    t = clean(spark, sf)
+    v = V.bins(bars(spark, sf))
+    return A.vol_index(v.where(F.col("bin_ts_ms") / BAR % 9 != 4), t.where(F.col("ts_ms") % 86_400_000 > 7_200_000), BAR)
+
+
+@query
+def audit_families(spark, sf):
+    """One verdict for each ticker of the roster from all families of checks, each of which some ticker fails."""
+    t, x = faulty(spark, sf), F.col("ticker_id")
+    t = t.where((x != 2) | (F.col("ts_ms") % (5 * c.DAY_MS) > c.DAY_MS)).where((x != 4) | (F.col("ts_ms") % c.DAY_MS < 40_000_000))
+    flat = (x == 3) & (F.floor(F.col("ts_ms") / c.DAY_MS) % 7 == 0) & (F.col("bid") > 0)
+    t = t.withColumns({"bid": F.when(flat, 150.0).otherwise(F.col("bid")), "ask": F.when(flat, 150.25).otherwise(F.col("ask"))})
+    b = filled(spark, sf).where((x != 3) | (F.col("open_ts_ms") % c.DAY_MS < 4 * BAR) | (F.col("open_ts_ms") % c.DAY_MS > 44 * BAR))
+    b = b.withColumns({"high": F.when((x == 1) & (F.col("vbid") % 23 == 2), F.col("low") - 1).otherwise(F.col("high")), "open_ts_ms": F.when((x == 5) & (F.col("vbid") % 29 == 5), F.col("open_ts_ms") + 7).otherwise(F.col("open_ts_ms"))})
+    coarse = B.rollup(filled(spark, sf), ROLL)
+    return A.audit(roster(spark), t, b, BAR, coarse, ROLL, max_gap_ms=5_400_000, quiet_ms=6_000_000, zero_run=4, now_ms=NOW, stuck={"run": 4, "sample": 5, "distinct": 0.5})
 
 
 @query
@@ -293,7 +387,8 @@ def vol_findings(spark, sf):
 
 @query
 def file_stats(spark, sf):
-    return rounded(Q.file_stats(D.valid_quotes(recs(spark, sf))))
+    t = D.valid_quotes(recs(spark, sf))
+    return rounded(Q.file_stats(t.withColumn("ask", F.when(F.col("event_id") % 89 == 0, F.col("ask") * 1.2).otherwise(F.col("ask")))))
 
 
 @query
@@ -309,8 +404,9 @@ def glue_status(spark, sf):
 
 @query
 def audit_verdict(spark, sf):
-    t = recs(spark, sf)
-    return Q.verdict(Q.record_findings(t), t.groupBy("ticker_id").agg(F.count("*").alias("rows")))
+    t = faulty(spark, sf).where("ticker_id <> 4 or (event_id % 13 > 0 and event_id % 17 > 0 and event_id % 101 > 0 and event_id % 103 > 0 and event_id % 131 > 0 and event_id % 137 > 0 and event_id % 211 > 0)")
+    rows = roster(spark).join(t.groupBy("ticker_id").agg(F.count("*").alias("rows")), "ticker_id", "left").na.fill(0, ["rows"])
+    return Q.verdict(Q.record_findings(t.where("vbid + vask > 0"), now_ms=NOW + 10**11), rows)
 
 
 @query
@@ -326,12 +422,12 @@ def shard_manifest(spark, sf):
 
 @query
 def rekeyed_shards(spark, sf):
-    """Manifests of a tree before and after its ids are renamed there and back."""
+    """Shards that differ after ids are renamed, one of them not back, and some rows are lost on the way."""
     t = clean(spark, sf).select("ticker_id", "ts_ms", "event_id")
     there = spark.createDataFrame([(1, 101), (2, 102)], "old_id bigint, new_id bigint")
-    back = there.select(F.col("new_id").alias("old_id"), F.col("old_id").alias("new_id"))
-    both = W.same_shards(W.manifest(t), W.manifest(W.rekey(W.rekey(t, there), back)))
-    return both.agg(F.count("*").alias("differ"))
+    back = there.where("old_id = 1").select(F.col("new_id").alias("old_id"), F.col("old_id").alias("new_id"))
+    both = W.same_shards(W.manifest(t), W.manifest(W.rekey(W.rekey(t, there), back).where("event_id % 307 <> 0")))
+    return both.select("side", "ticker_id", F.col("date").cast("string").alias("date"), "first_ts", "last_ts", "n_records")
 
 
 @query

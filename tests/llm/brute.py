@@ -73,7 +73,24 @@ def contamination(docs, items, window=10):
     return sorted(out, key=str)
 
 
-def repeated(rows, least=400):
+def near(docs, items, most=5, span=30):
+    """(id, items whose rarest words all stand within so many words)."""
+    cls = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    words = [(d, cls.findall(lower_ascii(t or ""))) for d, t in docs]
+    count = defaultdict(int)
+    for _, w in words:
+        for x in w:
+            count[x] += 1
+    wanted = [(k, set(sorted(set(cls.findall(lower_ascii(t or ""))), key=lambda x: (count[x], x))[:most])) for k, t in items]
+    out = []
+    for d, w in words:
+        own = {k for k, ts in wanted if ts and any(w[p] in ts and ts <= set(w[p : p + span]) for p in range(len(w)))}
+        out.append((d, len(own)))
+    return out
+
+
+def repeated(rows, least=400, passages=False):
+    """``passages``: with the bytes that repeated strings of 51 whole words cover, too."""
     seen = defaultdict(list)
     data = [(t or "").encode() for _, t in rows]
     for i, b in enumerate(data):
@@ -85,6 +102,16 @@ def repeated(rows, least=400):
             for i, p in at:
                 gone[i][p : p + least] = True
     out = []
+    if passages:
+        words, again = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", b)] for b in data], defaultdict(list)
+        for i, w in enumerate(words):
+            for (s, _), (_, e) in zip(w, w[50:]):
+                again[data[i][s:e]].append((i, s, e))
+        both = [g.copy() for g in gone]
+        for at in again.values():
+            for i, s, e in at if len(at) > 1 else ():
+                both[i][s:e] = True
+        return sorted(((d, int(g.sum()), int(x.sum())) for (d, _), g, x in zip(rows, gone, both)), key=str)
     for (d, _), b, g in zip(rows, data, gone):
         edges = np.diff(np.concatenate(([0], g.astype(np.int8), [0])))
         kept = np.frombuffer(b, np.uint8)[~g].tobytes() if b else b""

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,22 +17,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a local one only where the session names none (tests)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "tidemark-scratch")
+    """This application's part of the folder that all executors share; a local one only in local sessions that name none."""
+    own = spark.conf.get("spark.checkpoint.dir", None)
+    if not own:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        own = tempfile.gettempdir()
+    return f"{own}/tidemark/{spark.sparkContext.applicationId}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def clear(spark: SparkSession) -> None:
+    """Deletes what this application has staged; results that were not written elsewhere can't be read after that."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows of a staged file, where their number is known beforehand.
+FILE_ROWS = 1 << 16
+
+
+def staged(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back.
 
     It cuts lineage the way checkpoint() does (a lost executor costs no recomputation of what stands before it)
-    and gives Catalyst real sizes.
+    and gives Catalyst real sizes. ``rows``: a bound of their number, if one is known; it keeps small tables in few files.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    (df if rows is None else df.coalesce(parts_for(rows, FILE_ROWS))).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def parts_for(amount: int, most: int, least: int | None = None) -> int:
+    """Tasks for ``amount`` of what one of them is to hold at most ``most`` of; up to 200, if each has ``least``."""
+    return max(1, -(-amount // most), min(200, amount // least) if least else 1)
+
+
+def text_keys(text: Column) -> tuple[Column, Column]:
+    """A 128-bit key of a text, null as empty."""
+    whole = F.coalesce(text, F.lit(""))
+    return F.xxhash64(whole), F.xxhash64(F.lit(1), whole)
+
+
+def free_names(df: DataFrame, n: int) -> list[str]:
+    """Column names that ``df`` lacks, whatever their case."""
+    used = {c.lower() for c in df.columns}
+    return [x for i in range(n + len(used)) if (x := f"_key{i}") not in used][:n]
+
+
 def map_rows(df: DataFrame, columns: list[str], schema: str, row: Callable[..., Iterable[tuple]]) -> DataFrame:
     """``row(*values)`` yields output tuples for each row; only ``columns`` cross to Python, in Arrow batches."""
     out = df.sparkSession.createDataFrame([], schema).schema
@@ -55,9 +87,10 @@ def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
-def row_keys(docs: DataFrame) -> DataFrame:
-    """``docs`` with a 64-bit key of the whole row in column ``_row``; only rows that are equal throughout share one."""
-    return docs.withColumn("_row", F.xxhash64(*(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")) for c in docs.columns), *(F.col(f"`{c}`").isNull() for c in docs.columns)))
+def row_keys(docs: DataFrame, r1: str, r2: str) -> DataFrame:
+    """``docs`` with a 128-bit key of the whole row in two more columns; only rows that are equal throughout share one."""
+    every = [F.concat(F.lit("="), F.col(f"`{c}`").cast("string")) for c in docs.columns] + [F.col(f"`{c}`").isNull() for c in docs.columns]
+    return docs.withColumns({r1: F.xxhash64(*every), r2: F.xxhash64(F.lit(1), *every)})
 
 
 #: Bits of the bitmaps that stand for a set of keys, whatever its size.

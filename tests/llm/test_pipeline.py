@@ -79,8 +79,8 @@ def test_near_dedup_stage(kept):
     assert all(any(x in after for x in (d, *(y for p in close if d in p for y in p))) for d in before)
 
 
-@pytest.mark.parametrize("unit_rows", [16, simhash.UNIT_ROWS])
-def test_similar_groups_match_brute_force(spark, unit_rows):
+@pytest.mark.parametrize("unit_rows, unit_shingles", [(16, 1000), (simhash.UNIT_ROWS, simhash.UNIT_SHINGLES)])
+def test_similar_groups_match_brute_force(spark, unit_rows, unit_shingles):
     """Similarities on both sides of 0.8, in groups below and above a unit's rows."""
     rng, rows = random.Random(7), [(0, None), (1, ""), (2, "one two"), (3, "one two")]
     for base in range(30):
@@ -91,7 +91,7 @@ def test_similar_groups_match_brute_force(spark, unit_rows):
                 new[at] = f"x{rng.random()}"
             rows.append((len(rows), " ".join(new)))
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    got = {r["doc_id"]: r["group"] for r in simhash.similar_groups(df, unit_rows=unit_rows).collect()}
+    got = {r["doc_id"]: r["group"] for r in simhash.similar_groups(df, unit_rows=unit_rows, unit_shingles=unit_shingles).collect()}
     sets, up = [shingles(t or "") if t else set() for _, t in rows], list(range(len(rows)))
 
     def top(x):

@@ -2,12 +2,14 @@
 
 Every source's documents stand in a seeded order and are cut, as one run of words, into blocks of ``block_words``.
 A house of total/block_words seats goes to the sources by highest quotients target/(2k + 1); the method is
-house-monotone, so the seats of the first i shards give every shard integer quotas that add up. A source with q seats
-and n blocks takes all n blocks q div n times, and q mod n further blocks that follow a seeded start, in a ring.
-
-Cases: null text has size 0; null sources are one source, ordered last; documents of size 0 take 0; equal rows get
-places by (hash, id, size) and are interchangeable; an empty table gives an empty result; other columns are ignored.
-The source table is collected, so the number of distinct sources is checked against ``max_sources``.
+house-monotone, so the seats of the first i shards, less those of the first i - 1, are integer quotas of shard i that add
+up. A source's seats, shard by shard, take its blocks one after the other from a seeded start on, in a ring, until its
+quotas are filled; with more seats than blocks it goes round again.
+
+Cases: null text has size 0; null sources are one source, ordered last; documents of size 0 take 0; a null id is kept and
+comes first; equal rows get places by (hash, id, size) and are interchangeable; more shards than seats leave shards empty;
+an empty table gives an empty result; other columns are ignored. A row for each source and partition is collected, so
+the number of distinct sources is checked against ``max_sources``.
 """
 
 from __future__ import annotations
@@ -20,11 +22,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import row_keys, staged, type_of
+from tidemark.llm.common import free_names, parts_for, row_keys, staged
 
 MAX_REPEATS = 3
-BLOCK_WORDS = 4
-MAX_SOURCES = 100_000
+BLOCK_WORDS = 16
+SHARDS = 16
+MAX_SOURCES = 1_000_000
+#: Rows that a task puts in order.
+TASK_ROWS = 1 << 22
 SEED = 20240501
 
 
@@ -114,37 +119,21 @@ def _running(size: str, source: str):
     return run
 
 
-def mix(
-    docs: DataFrame,
-    weights: Sequence[float] = (1.0, 2.0, 3.0),
-    block_words: int = BLOCK_WORDS,
-    repeats: int = MAX_REPEATS,
-    seed: int = SEED,
-    max_sources: int = MAX_SOURCES,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-) -> DataFrame:
-    """(id, source, size, source_size, target, quota, first_word, taken): a row for each row of ``docs``.
+def _seeded(seed: int, *ids) -> "F.Column":
+    return F.xxhash64(F.lit(seed), *(i.cast("string") for i in ids))
 
-    Sources in code-point order, null last, weigh ``weights``, repeating. ``quota``: the source's blocks in the mix.
-    """
-    spark = docs.sparkSession
-    sized = docs.select(
-        F.col(f"`{id_col}`").alias("id"),
-        F.col(f"`{source_col}`").cast("string").alias("src"),
-        words_of(F.col(f"`{text_col}`")).alias("size"),
-        F.xxhash64(F.lit(seed), F.col(f"`{id_col}`").cast("string")).alias("h"),
-    )
+
+def _taken(sized: DataFrame, carried: list[str], weights: Sequence[float], shards: int, block_words: int, repeats: int, seed: int, max_sources: int) -> DataFrame:
+    """``sized``: (carried, src, size, h). (carried, src, size, source_size, target, quotas, first_word, words ARRAY by shard)."""
+    spark = sized.sparkSession
     sized = staged(sized, "sized")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = sized.repartitionByRange(parts, F.col("src").asc_nulls_last(), "h", "id", "size").sortWithinPartitions(F.col("src").asc_nulls_last(), "h", "id", "size")
-    ordered = ordered.withColumn("part", F.spark_partition_id())
-    schema = f"id {type_of(sized, 'id')}, src string, size bigint, h bigint, part int, before bigint"
-    ordered = staged(ordered.withColumn("before", F.lit(0).cast("bigint")).mapInPandas(_running("size", "src"), schema), "ordered")
+    order = [F.col("src").asc_nulls_last(), "h", *carried, "size"]
+    ordered = sized.repartitionByRange(parts_for(sized.count(), TASK_ROWS, TASK_ROWS >> 9), *order).sortWithinPartitions(*order)
+    ordered = ordered.withColumns({"part": F.spark_partition_id(), "before": F.lit(0).cast("bigint")})
+    ordered = staged(ordered.mapInPandas(_running("size", "src"), ordered.schema), "ordered")
 
     # One row for each partition and source: at most partitions + sources.
-    parts_of = ordered.groupBy("src", "part").agg(F.sum("size").alias("words"))
+    parts_of = staged(ordered.groupBy("src", "part").agg(F.sum("size").alias("words")), "source-parts")
     n_sources = parts_of.select("src").distinct().count()
     if n_sources > max_sources:
         raise ValueError(f"{n_sources} sources; max_sources is {max_sources}")
@@ -160,45 +149,64 @@ def mix(
     targets = water_fill(sizes, [weights[i % len(weights)] for i in range(len(names))], repeats)
     blocks = [-(-s // block_words) for s in sizes]
     seats = int(sum(targets) / block_words + 0.5)
-    quotas = sainte_lague(targets, seats, [repeats * b for b in blocks])
-    plan = {}
-    for i, s in enumerate(names):
-        rounds, extra = divmod(quotas[i], blocks[i]) if blocks[i] else (0, 0)
-        begin = (seed * 2654435761 + i * 40503) % blocks[i] if blocks[i] else 0
-        plan[s] = (sizes[i], targets[i], quotas[i], rounds, begin * block_words, extra * block_words, blocks[i] * block_words)
+    quotas = [list(q) for q in zip(*shard_quotas(targets, seats, [repeats * b for b in blocks], shards))]
+    plan = {s: (sizes[i], targets[i], quotas[i], (seed * 2654435761 + i * 40503) % blocks[i] if blocks[i] else 0, blocks[i]) for i, s in enumerate(names)}
     facts = [(s, p, at, *plan[s]) for s, p, at in starts]
-    facts_df = spark.createDataFrame(facts, "src2 string, part2 int, part_start bigint, source_size bigint, target double, quota bigint, rounds bigint, ring_from bigint, ring_words bigint, ring bigint")
+    facts_df = spark.createDataFrame(facts, "src2 string, part2 int, part_start bigint, source_size bigint, target double, quotas array<bigint>, begin bigint, ring bigint")
     j = ordered.join(F.broadcast(facts_df), ordered["src"].eqNullSafe(facts_df["src2"]) & (ordered["part"] == facts_df["part2"]))
-    low = F.col("first_word")
-    high = F.col("first_word") + F.col("size")
-
-    def overlap(a, b):
-        return F.greatest(F.lit(0).cast("bigint"), F.least(high, b) - F.greatest(low, a))
-
-    end = F.col("ring_from") + F.col("ring_words")
-    again = overlap(F.col("ring_from"), F.least(end, F.col("ring"))) + overlap(F.lit(0).cast("bigint"), end - F.col("ring"))
-    out = j.withColumn("first_word", F.col("before") + F.col("part_start"))
-    return out.select(
-        F.col("id").alias(id_col),
-        F.col("src").alias(source_col),
-        "size",
-        "source_size",
-        "target",
-        "quota",
-        "first_word",
-        (F.col("rounds") * F.col("size") + again).alias("taken"),
-    )
+    low = F.col("part_start") + F.col("before")
+
+    def words_in(i):
+        """Words of the document in the seats of shard i: its interval on each round against the shard's."""
+        from_ = (F.col("begin") + F.aggregate(F.slice("quotas", 1, i), F.lit(0).cast("bigint"), lambda a, q: a + q)) * block_words
+        to = from_ + F.element_at("quotas", i + 1) * block_words
+        rounds = [low + F.col("ring") * (k * block_words) for k in range(repeats + 1)]
+        return sum((F.greatest(F.lit(0).cast("bigint"), F.least(at + F.col("size"), to) - F.greatest(at, from_)) for at in rounds), F.lit(0).cast("bigint"))
+
+    words = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), words_in)
+    return j.select(*carried, "src", "size", "source_size", "target", "quotas", low.alias("first_word"), words.alias("words"))
+
+
+def _total(words) -> "F.Column":
+    return F.aggregate(words, F.lit(0).cast("bigint"), lambda a, x: a + x)
+
+
+def mix(
+    docs: DataFrame,
+    weights: Sequence[float] = (1.0, 2.0, 3.0),
+    shards: int = SHARDS,
+    block_words: int = BLOCK_WORDS,
+    repeats: int = MAX_REPEATS,
+    seed: int = SEED,
+    max_sources: int = MAX_SOURCES,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """(id, source, size, source_size, target, quotas, first_word, words, taken): a row for each row of ``docs``.
+
+    Sources in code-point order, null last, weigh ``weights``, repeating. ``quotas``: the source's blocks in each shard of
+    the mix; ``words``: the document's words in each shard, ``taken`` their sum.
+    """
+    i = F.col(f"`{id_col}`")
+    sized = docs.select(i.alias("id"), F.col(f"`{source_col}`").cast("string").alias("src"), words_of(F.col(f"`{text_col}`")).alias("size"), _seeded(seed, i).alias("h"))
+    out = _taken(sized, ["id"], weights, shards, block_words, repeats, seed, max_sources)
+    return out.select(F.col("id").alias(id_col), F.col("src").alias(source_col), "size", "source_size", "target", "quotas", "first_word", "words", _total("words").alias("taken"))
 
 
 def mixed(docs: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0), seed: int = SEED, text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, in whole documents: 0 to ``MAX_REPEATS`` times.
 
-    The columns stay as they are. The two documents of a source at which its ring begins and ends are rounded;
-    documents of size 0 go.
+    The columns stay as they are, whatever their names. The two documents of a source at which its ring begins and ends
+    are rounded; documents of size 0 go. Rows that are equal throughout are one while they are moved, and are given back
+    as often as all of them are taken. An empty table stays empty.
     """
-    keyed = row_keys(docs)
-    taken = mix(keyed, weights, seed=seed, id_col="_row", text_col=text_col, source_col=source_col)
-    whole = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    copies = taken.groupBy("_row").agg(F.sum(whole).cast("int").alias("_copies")).where("_copies > 0")
-    one = keyed.join(copies, "_row").dropDuplicates(["_row"])
-    return one.select(*(F.col(f"`{c}`") for c in docs.columns), F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_copy")).drop("_copy")
+    r1, r2, copies, copy = free_names(docs, 4)
+    keyed = row_keys(docs, r1, r2)
+    rows = [F.col(r1), F.col(r2)]
+    sized = keyed.select(rows[0].alias("r1"), rows[1].alias("r2"), F.col(f"`{source_col}`").cast("string").alias("src"), words_of(F.col(f"`{text_col}`")).alias("size"), _seeded(seed, *rows).alias("h"))
+    taken = _taken(sized, ["r1", "r2"], weights, SHARDS, BLOCK_WORDS, MAX_REPEATS, seed, MAX_SOURCES)
+    whole = F.when(F.col("size") > 0, F.round(_total("words") / F.col("size"))).otherwise(0).cast("int")
+    times = taken.groupBy(F.col("r1").alias(r1), F.col("r2").alias(r2)).agg(F.sum(whole).cast("int").alias(copies)).where(F.col(copies) > 0)
+    one = keyed.dropDuplicates([r1, r2]).join(times, [r1, r2])
+    return one.select(*(F.col(f"`{c}`") for c in docs.columns), F.explode(F.array_repeat(F.lit(0), F.col(copies))).alias(copy)).drop(copy)

@@ -52,21 +52,30 @@ def save(df: DataFrame, a, ts: str = "ts_ms") -> DataFrame:
 
 @command(("exchange", "binance"), ("pair", "BTC-USDT"), ("base-url", ""), ("ticker-id", 1), ("provider-id", 1), ("probe", False))
 def fetch_crypto_history(spark, a):
-    """Plans monthly and daily archives, downloads them to --input, and reads them as ticks."""
-    plan = trades.plan_archives(trades.months(spark, a.from_date, a.to_date), spark.createDataFrame([], "month_start date, ticks bigint") if a.probe else trades.months(spark, a.from_date, a.to_date).select("month_start", F.lit(1).alias("ticks")))
-    urls = [r["url"] for r in plan.select(trades.archive_url(F.col("kind"), a.exchange, a.pair, F.col("date"), a.base_url).alias("url")).collect()]
-    found = []
-    for url in urls:
-        if a.probe:
+    """Plans monthly and daily archives, downloads them to --input, and reads them as ticks; --probe tells what there is."""
+    if a.probe:
+
+        def there(url: str) -> bool:
             try:
-                with urllib.request.urlopen(urllib.request.Request(url, method="HEAD")):
-                    found.append((url, True))
+                with urllib.request.urlopen(urllib.request.Request(url, method="HEAD"), timeout=15):
+                    return True
             except OSError:
-                found.append((url, False))
-        else:
-            trades.download(url, f"{a.input}/{url.rsplit('/', 1)[1]}")
-    if a.probe:
-        return spark.createDataFrame(found, "url string, available boolean")
+                return False
+
+        found = trades.probe(a.exchange, a.pair, date.fromisoformat(a.from_date), date.fromisoformat(a.to_date), there)
+        return spark.createDataFrame([found], "has_data boolean, first_month date, last_month date")
+
+    def fetch(url: str) -> int:
+        return trades.download(url, f"{a.input}/{url.rsplit('/', 1)[1]}")
+
+    every = trades.months(spark, a.from_date, a.to_date)
+    offered = F.lit(1 if a.base_url or trades.ARCHIVES[a.exchange][0] else 0)
+    plan = trades.plan_archives(every, every.select("month_start", offered.alias("ticks")))
+    if a.exchange == "bitget" and not a.base_url:
+        trades.sequence_scan([r["date"] for r in plan.select("date").orderBy("date").collect()], a.pair, fetch)
+    else:
+        for r in plan.select(trades.archive_url(F.col("kind"), a.exchange, a.pair, F.col("date"), a.base_url).alias("url")).collect():
+            fetch(r["url"])
     return save(trades.parse(trades.zip_lines(spark, a.input), a.exchange, a.ticker_id, a.provider_id), a)
 
 
@@ -185,12 +194,14 @@ def live_latency_audit(spark, a):
     return Q.latency(t).withColumn("severity", F.when(F.col("level") == 2, "E").when(F.col("level") == 1, "W"))
 
 
-@command(("target-ms", 200), ("commit", False), checks=True)
+@command(("target-ms", 200), ("commit", False), ("csv", ""), checks=True)
 def resample_idx(spark, a):
     t = shards(spark, a).drop("date")
     out = B.resample_last(t, a.target_ms)
     if a.commit:
         save(out, a)
+    if a.csv:
+        A.resample_report(t.withColumn("shard_ticker_id", F.col("ticker_id")), out, c.DAY_MS).write.mode("overwrite").csv(a.csv, header=True)
     return Q.resample_invariants(t, out, a.target_ms).withColumn("severity", F.when(F.col("violations") > 0, "E"))
 
 

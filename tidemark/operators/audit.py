@@ -25,16 +25,6 @@ def _coded(df: DataFrame, keys: list[str], checks: list[tuple[str, Column, str]]
     return df.select(*keys, F.explode(found).alias("x")).select(*keys, "x.code", "x.severity")
 
 
-def with_before(df: DataFrame, ms: str, order: tuple[str, ...], values: list[str]) -> DataFrame:
-    """Adds ``p_`` columns: the values of the ticker's row before. Windows hold a day; its first row takes the last of the day before that has rows."""
-    last = df.groupBy("ticker_id", _day(ms).alias("day")).agg(F.max_by(F.struct(*values), F.struct(*order)).alias("last"))
-    carried = last.select("ticker_id", "day", F.lag("last").over(Window.partitionBy("ticker_id").orderBy("day")).alias("carried"))
-    w = Window.partitionBy("ticker_id", "day").orderBy(*order)
-    t = df.withColumn("day", _day(ms)).withColumn("before", F.lag(F.struct(*values)).over(w))
-    t = t.join(carried, ["ticker_id", "day"]).withColumn("before", F.coalesce("before", "carried"))
-    return t.select(*df.columns, *(F.col(f"before.{v}").alias(f"p_{v}") for v in values))
-
-
 def bar_series_findings(bars: DataFrame, ms: int, min_pct: float = 0.0) -> DataFrame:
     """(ticker_id, open_ts_ms, code, severity) of bars of any kind, against the ticker's bar before.
 
@@ -44,7 +34,7 @@ def bar_series_findings(bars: DataFrame, ms: int, min_pct: float = 0.0) -> DataF
     brick below ``min_pct``. Columns that the bars lack are not checked.
     """
     t = bars if "kind" in bars.columns else bars.withColumn("kind", F.lit(KLINE))
-    t = with_before(t, "open_ts_ms", ("open_ts_ms", "close_ts_ms"), ["close_ts_ms", "close", "kind"])
+    t = Q.with_before(t, "open_ts_ms", ("open_ts_ms", "close_ts_ms"), ["close_ts_ms", "close", "kind"])
     prices = ["open", "high", "low", "close"]
     odd = [F.isnan(x) | (F.abs(F.col(x)) == float("inf")) | F.col(x).isNull() for x in prices]
     broken = odd[0] | odd[1] | odd[2] | odd[3]
@@ -113,6 +103,19 @@ def vol_index(vol: DataFrame, records: DataFrame, ms: int = c.VOL_BIN_MS) -> Dat
     return j.select("ticker_id", "bin_ts_ms", F.when(F.col("r").isNull(), "vol").otherwise("idx").alias("kind"))
 
 
+def resample_report(source: DataFrame, target: DataFrame, most_ms: int, shard_ticker: str = "shard_ticker_id") -> DataFrame:
+    """A row for each shard: rows before and after, median spacings, and records of other tickers that it held."""
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        t = Q.with_before(df.select("ticker_id", "ts_ms", "event_id"), "ts_ms", ("ts_ms", "event_id"), ["ts_ms"]).withColumn("day", _day("ts_ms"))
+        d = F.col("ts_ms") - F.col("p_ts_ms")
+        return t.groupBy("ticker_id", "day").agg(F.count("*").alias(f"count_{name}"), F.round(F.median(F.when((d > 0) & (d < most_ms), d))).cast("bigint").alias(f"spacing_{name}_ms"))
+
+    other = source.where(F.col("ticker_id") != F.col(shard_ticker)).groupBy(F.col(shard_ticker).alias("ticker_id"), _day("ts_ms").alias("day")).agg(F.count("*").alias("misrouted"))
+    j = side(source.where(F.col("ticker_id") == F.col(shard_ticker)), "old").join(side(target, "new"), ["ticker_id", "day"], "full").join(other, ["ticker_id", "day"], "left")
+    return j.na.fill(0, ["count_old", "count_new", "misrouted"]).withColumn("date", F.date_from_unix_date(F.col("day").cast("int")).cast("string")).drop("day")
+
+
 def _count(df: DataFrame, name: str, amount: Column | None = None) -> DataFrame:
     return df.groupBy("ticker_id").agg((F.count("*") if amount is None else amount).cast("bigint").alias(name))
 
@@ -147,7 +150,7 @@ def audit(
     the roster without a record.
     """
     order = ("ts_ms", "event_id")
-    moved = with_before(records, "ts_ms", order, ["ts_ms"])
+    moved = Q.with_before(records, "ts_ms", order, ["ts_ms"])
     gap = F.col("ts_ms") - F.col("p_ts_ms")
     gaps = moved.where(gap > max_gap_ms).select("ticker_id", F.col("p_ts_ms").alias("from_ms"), F.col("ts_ms").alias("to_ms"), gap.alias("gap_ms"))
     kinds = Q.classify_gaps(Q.session_overlap(gaps, records), records, max_gap_ms, quiet_ms)

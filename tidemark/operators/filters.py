@@ -77,11 +77,13 @@ def retained(df: DataFrame, existing: DataFrame, cutoff_ms: int) -> DataFrame:
 
 
 def delta_gate(df: DataFrame, values=("bid", "ask", "vbid", "vask", "ci_ubp"), order=("ts_ms", "event_id")) -> DataFrame:
-    """Drops rows whose values repeat the row before, except a UTC day's first."""
-    w = Window.partitionBy("ticker_id").orderBy(*order)
-    same = F.lit(True)
-    for v in values:
-        same = same & F.col(v).eqNullSafe(F.lag(v).over(w))
-    day = F.floor(F.col("ts_ms") / c.DAY_MS)
-    first = F.coalesce(day != F.lag(day).over(w), F.lit(True))
-    return df.withColumn("_keep", first | ~same).where("_keep").drop("_keep")
+    """Drops rows whose values repeat the row before, except a UTC day's first; so no window is longer than a day."""
+    w = Window.partitionBy("ticker_id", F.floor(F.col("ts_ms") / c.DAY_MS)).orderBy(*order)
+    own = F.struct(*values)
+    before = F.lag(own).over(w)
+    return df.withColumn("_keep", before.isNull() | ~own.eqNullSafe(before)).where("_keep").drop("_keep")
+
+
+def own_ticker(df: DataFrame, shard_ticker: str = "shard_ticker_id") -> DataFrame:
+    """Without records that were written to another ticker's shard; the shard's id counts."""
+    return df.where(F.col("ticker_id") == F.col(shard_ticker))

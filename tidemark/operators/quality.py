@@ -89,6 +89,16 @@ def shard_findings(df: DataFrame, order=("event_id",), strict: bool = False, run
     return out.withColumn("severity", F.lit(warn))
 
 
+def with_before(df: DataFrame, ms: str, order: tuple[str, ...], values: list[str]) -> DataFrame:
+    """Adds ``p_`` columns: the values of the ticker's row before. Windows hold a day; its first row takes the last of the day before that has rows."""
+    last = df.groupBy("ticker_id", F.floor(F.col(ms) / c.DAY_MS).alias("day")).agg(F.max_by(F.struct(*values), F.struct(*order)).alias("last"))
+    carried = last.select("ticker_id", "day", F.lag("last").over(Window.partitionBy("ticker_id").orderBy("day")).alias("carried"))
+    w = Window.partitionBy("ticker_id", "day").orderBy(*order)
+    t = df.withColumn("day", F.floor(F.col(ms) / c.DAY_MS)).withColumn("before", F.lag(F.struct(*values)).over(w))
+    t = t.join(carried, ["ticker_id", "day"]).withColumn("before", F.coalesce("before", "carried"))
+    return t.select(*df.columns, *(F.col(f"before.{v}").alias(f"p_{v}") for v in values))
+
+
 def bar_findings(bars: DataFrame, ms: int) -> DataFrame:
     """(ticker_id, open_ts_ms, code): grid, order and price checks of bars."""
     w = Window.partitionBy("ticker_id").orderBy("open_ts_ms")
@@ -117,8 +127,7 @@ def vol_findings(vol: DataFrame) -> DataFrame:
 
 def gaps(df: DataFrame, least_ms: int, order=("ts_ms", "event_id")) -> DataFrame:
     """(ticker_id, from_ms, to_ms, gap_ms, severity) of steps of more than ``least_ms``."""
-    w = Window.partitionBy("ticker_id").orderBy(*order)
-    t = df.select("ticker_id", F.lag("ts_ms").over(w).alias("from_ms"), F.col("ts_ms").alias("to_ms"))
+    t = with_before(df.select("ticker_id", *order), "ts_ms", tuple(order), ["ts_ms"]).select("ticker_id", F.col("p_ts_ms").alias("from_ms"), F.col("ts_ms").alias("to_ms"))
     gap = F.col("to_ms") - F.col("from_ms")
     return t.where(gap > least_ms).select("*", gap.alias("gap_ms"), S.gap_severity(gap).alias("severity"))
 
@@ -235,8 +244,8 @@ def latency(tips: DataFrame) -> DataFrame:
 
 
 def median_spacing(df: DataFrame, most_ms: int, order=("ts_ms", "event_id")) -> DataFrame:
-    w = Window.partitionBy("ticker_id").orderBy(*order)
-    t = df.select("ticker_id", (F.col("ts_ms") - F.lag("ts_ms").over(w)).alias("d")).where((F.col("d") > 0) & (F.col("d") < most_ms))
+    t = with_before(df.select("ticker_id", *order), "ts_ms", tuple(order), ["ts_ms"])
+    t = t.select("ticker_id", (F.col("ts_ms") - F.col("p_ts_ms")).alias("d")).where((F.col("d") > 0) & (F.col("d") < most_ms))
     return t.groupBy("ticker_id").agg(F.round(F.median("d")).cast("bigint").alias("spacing_ms"))
 
 

@@ -411,6 +411,20 @@ from (select distinct ticker_id from clean) left join (select ticker_id, count(*
     "audit_verdict": _with(_RECORDS + "," + _FAULTY + _KEPT + "," + _findings("deep", _NOW + 10**11) + "," + _VERDICT, "select * from verdicts"),
     "audit_exit": _with(_RECORDS + "," + _FAULTY + _KEPT + "," + _findings("deep", _NOW + 10**11) + "," + _VERDICT, "select max(case when errors > 0 then 2 when warnings > 0 then 1 else 0 end)::int as code, count(*) filter (where verdict = 'PASS') as pass, count(*) filter (where verdict = 'FAIL') as fail, count(*) filter (where verdict = 'NO_DATA') as no_data from verdicts"),
     "shard_manifest": _with(_RECORDS, "select ticker_id, strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d') as date, min(ts_ms) as first_ts, max(ts_ms) as last_ts, count(*) as n_records from clean group by all"),
+    "archive_urls": """select * from (
+with d as (select distinct o_orderdate::date as x from orders), p as (select strftime(x, '%Y-%m-%d') as date, strftime(x, '%Y') as y, strftime(x, '%m') as m, strftime(x, '%d') as d from d)
+select 'binance' as exchange, date, 'https://data.binance.vision/data/spot/monthly/aggTrades/BTCUSDT/BTCUSDT-aggTrades-' || y || '-' || m || '.zip' as monthly, 'https://data.binance.vision/data/spot/daily/aggTrades/BTCUSDT/BTCUSDT-aggTrades-' || date || '.zip' as daily from p
+union all select 'bitget', date, null, 'https://img.bitgetimg.com/online/trades/SPBL/BTCUSDT/' || y || m || d || '_001.zip' from p
+union all select 'bybit', date, 'https://public.bybit.com/spot/BTCUSDT/BTCUSDT-' || y || '-' || m || '.csv.gz', 'https://public.bybit.com/spot/BTCUSDT/BTCUSDT_' || date || '.csv.gz' from p
+union all select 'okx', date, 'https://static.okx.com/cdn/okex/traderecords/trades/monthly/' || y || m || '/BTC-USDT-trades-' || y || '-' || m || '.zip', 'https://static.okx.com/cdn/okex/traderecords/trades/daily/' || y || m || d || '/BTC-USDT-trades-' || date || '.zip' from p)""",
+    "own_ticker_filter": _with(_RECORDS, "select event_id, ticker_id from records where event_id % 23 <> 0"),
+    "resample_report": _with(_RECORDS + f""",
+mine as (select * from records where event_id % 23 <> 0),
+made as (select ticker_id, ts_ms - ts_ms % {BAR} as ts_ms, max((ts_ms, event_id))[2] as event_id from mine group by all),
+old as (select ticker_id, ts_ms // {DAY} as day, count(*) as count_old, round(median(case when d > 0 and d < {DAY} then d end))::bigint as spacing_old_ms from (select *, ts_ms - lag(ts_ms) over (partition by ticker_id order by ts_ms, event_id) as d from mine) group by all),
+new as (select ticker_id, ts_ms // {DAY} as day, count(*) as count_new, round(median(case when d > 0 and d < {DAY} then d end))::bigint as spacing_new_ms from (select *, ts_ms - lag(ts_ms) over (partition by ticker_id order by ts_ms, event_id) as d from made) group by all),
+other as (select ticker_id % 5 + 1 as ticker_id, ts_ms // {DAY} as day, count(*) as misrouted from records where event_id % 23 = 0 group by all)""",
+        f"select ticker_id, strftime(make_timestamp(day * {DAY} * 1000), '%Y-%m-%d') as date, coalesce(count_old, 0) as count_old, spacing_old_ms, coalesce(count_new, 0) as count_new, spacing_new_ms, coalesce(misrouted, 0) as misrouted from old full join new using (ticker_id, day) left join other using (ticker_id, day)"),
     "rekeyed_shards": _with(_RECORDS + """,
 one as (select ticker_id, event_id, ts_ms from clean),
 two as (select case ticker_id when 2 then 102 else ticker_id end as ticker_id, event_id, ts_ms from clean where event_id % 307 <> 0),

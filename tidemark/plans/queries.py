@@ -593,3 +593,31 @@ def k_distribution(spark, sf):
 @query
 def synthetic_gbm(spark, sf):
     return synthetic.quotes(synthetic.gbm(spark, 5, 2000))
+
+
+@query
+def archive_urls(spark, sf):
+    """Addresses of every exchange's archives for the months of the orders."""
+    t = table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("date")).distinct()
+    out = None
+    for exchange in sorted(archives.ARCHIVES):
+        url = [archives.archive_url(F.lit(k), exchange, "btc/usdt", F.col("date")).alias(k) for k in ("monthly", "daily")]
+        one = t.select(F.lit(exchange).alias("exchange"), F.col("date").cast("string").alias("date"), *url)
+        out = one if out is None else out.union(one)
+    return out
+
+
+def misrouted(spark, sf):
+    e = F.col("event_id")
+    return recs(spark, sf).withColumn("shard_ticker_id", F.when(e % 23 == 0, F.col("ticker_id") % 5 + 1).otherwise(F.col("ticker_id")))
+
+
+@query
+def own_ticker_filter(spark, sf):
+    return D.own_ticker(misrouted(spark, sf)).select("event_id", "ticker_id")
+
+
+@query
+def resample_report(spark, sf):
+    t = misrouted(spark, sf)
+    return A.resample_report(t, B.resample_last(D.own_ticker(t).drop("shard_ticker_id"), BAR), c.DAY_MS)

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import config as c
 
@@ -44,3 +45,21 @@ def ticks(spark: SparkSession, path: str) -> DataFrame:
 
 def vol(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, "[!.]*.vol", VOL, "bin_ts_ms bigint, sigma_pct double", lambda r: {"bin_ts_ms": _ms(np.ascontiguousarray(r["mts"])), "sigma_pct": r["sigma_pct"].copy()})
+
+
+def vol_files(bins: DataFrame) -> DataFrame:
+    """(ticker_id, content BINARY): each ticker's bins (ticker_id, bin_ts_ms, sigma_pct) in order, as a file of ``VOL`` records."""
+    rows = bins.groupBy("ticker_id").agg(F.array_sort(F.collect_list(F.struct("bin_ts_ms", "sigma_pct"))).alias("rows"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for own in batch.column(1).to_pylist():
+                r = np.zeros(len(own), VOL)
+                mts = -(-(np.array([x["bin_ts_ms"] for x in own], np.int64) - c.MTS_EPOCH_MS) * 1000 // 16)
+                r["mts"] = np.frombuffer(mts.astype("<i8").tobytes(), np.uint8).reshape(-1, 8)[:, :6].copy().view("V6").ravel()
+                r["sigma_pct"] = [x["sigma_pct"] for x in own]
+                out.append(r.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["ticker_id", "content"])
+
+    return rows.mapInArrow(run, "ticker_id bigint, content binary")

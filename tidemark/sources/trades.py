@@ -6,6 +6,8 @@ import io
 import zipfile
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from datetime import date
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +49,21 @@ URLS = {
     "monthly": "{base}/{exchange}/monthly/{pair}-{month}.zip",
     "daily": "{base}/{exchange}/daily/{pair}-{day}.zip",
 }
+# Addresses of the public archives, by month and by day; an empty one is not offered.
+ARCHIVES = {
+    "binance": (
+        "https://data.binance.vision/data/spot/monthly/aggTrades/{sym}/{sym}-aggTrades-{y}-{m}.zip",
+        "https://data.binance.vision/data/spot/daily/aggTrades/{sym}/{sym}-aggTrades-{y}-{m}-{d}.zip",
+    ),
+    "bybit": ("https://public.bybit.com/spot/{sym}/{sym}-{y}-{m}.csv.gz", "https://public.bybit.com/spot/{sym}/{sym}_{y}-{m}-{d}.csv.gz"),
+    "bitget": ("", "https://img.bitgetimg.com/online/trades/SPBL/{sym}/{y}{m}{d}_{seq}.zip"),
+    "okx": (
+        "https://static.okx.com/cdn/okex/traderecords/trades/monthly/{y}{m}/{sym}-trades-{y}-{m}.zip",
+        "https://static.okx.com/cdn/okex/traderecords/trades/daily/{y}{m}{d}/{sym}-trades-{y}-{m}-{d}.zip",
+    ),
+}
+PROBED = ("binance", "bybit")
+MOST_PROBED_MONTHS = 72
 
 
 def parse(lines: DataFrame, exchange: str, ticker_id: int, provider_id: int) -> DataFrame:
@@ -125,14 +142,57 @@ def plan_archives(months_: DataFrame, available: DataFrame) -> DataFrame:
     return j.select(F.when(monthly, "monthly").otherwise("daily").alias("kind"), F.explode(days).alias("date"))
 
 
-def archive_url(kind, exchange: str, pair: str, day, base: str):
-    """The archive's address by kind, as a column."""
+def symbol(exchange: str, pair: str) -> str:
+    base, quote = pair.upper().replace("/", "-").split("-")
+    return f"{base}-{quote}" if exchange == "okx" else base + quote
+
+
+def archive_url(kind, exchange: str, pair: str, day, base: str = "", seq: int = 1):
+    """The archive's address by kind, as a column; null where the exchange has none. ``base``: a mirror in this module's own layout."""
+
+    def filled(text: str):
+        out = F.lit(text.replace("{base}", base).replace("{exchange}", exchange).replace("{pair}", pair).replace("{sym}", symbol(exchange, pair)).replace("{seq}", f"{seq:03}"))
+        for field, pattern in (("{month}", "yyyy-MM"), ("{day}", "yyyy-MM-dd"), ("{y}", "yyyy"), ("{m}", "MM"), ("{d}", "dd")):
+            out = F.replace(out, F.lit(field), F.date_format(day, pattern)) if field in text else out
+        return out if text else F.lit(None).cast("string")
+
+    monthly, daily = (URLS["monthly"], URLS["daily"]) if base else ARCHIVES[exchange]
+    return F.when(kind == "monthly", filled(monthly)).otherwise(filled(daily))
+
+
+def sequence_scan(days: list[date], pair: str, fetch: Callable[[str], int]) -> list[str]:
+    """Addresses of a day's numbered files, from 1 on until ``fetch`` raises OSError or gives no ticks."""
+    found = []
+    for day in days:
+        for seq in count(1):
+            url = ARCHIVES["bitget"][1].format(sym=symbol("bitget", pair), y=f"{day:%Y}", m=f"{day:%m}", d=f"{day:%d}", seq=f"{seq:03}")
+            try:
+                ticks = fetch(url)
+            except OSError:
+                break
+            if not ticks:
+                break
+            found.append(url)
+    return found
+
+
+def probe(exchange: str, pair: str, start: date, end: date, there: Callable[[str], bool]) -> tuple[bool, date | None, date | None]:
+    """(has data, first month, last month) of the monthly archives, ``MOST_PROBED_MONTHS`` at most looked at from either end.
+
+    Exchanges whose archives can't be asked for are taken to have data.
+    """
+    if exchange not in PROBED:
+        return True, None, None
+    a, b = start.year * 12 + start.month - 1, end.year * 12 + end.month - 1
 
-    def filled(name: str, field: str, pattern: str):
-        text = URLS[name].replace("{base}", base).replace("{exchange}", exchange).replace("{pair}", pair)
-        return F.replace(F.lit(text), F.lit(field), F.date_format(day, pattern))
+    def has(n: int) -> bool:
+        return there(ARCHIVES[exchange][0].format(sym=symbol(exchange, pair), y=f"{n // 12:04}", m=f"{n % 12 + 1:02}"))
 
-    return F.when(kind == "monthly", filled("monthly", "{month}", "yyyy-MM")).otherwise(filled("daily", "{day}", "yyyy-MM-dd"))
+    first = next((n for n in range(a, min(b, a + MOST_PROBED_MONTHS - 1) + 1) if has(n)), None)
+    if first is None:
+        return False, None, None
+    last = next((n for n in range(b, max(first, b - MOST_PROBED_MONTHS + 1) - 1, -1) if has(n)), None)
+    return True, *(None if n is None else date(n // 12, n % 12 + 1, 1) for n in (first, last))
 
 
 def download(url: str, target: str, retries: int = 3) -> int:

@@ -166,3 +166,114 @@ def base_pii(text):
 
 def crc(text):
     return zlib.crc32((text or "").encode())
+
+
+def terms(rows, disclosure=0.8):
+    """Spans of words that give an entity away, by counts over all documents."""
+    word = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]{4,}")
+    base = [base_pii(t) for _, t in rows]
+    said = [set(word.findall((t or "").lower())) for _, t in rows]
+    held = [{f"{k}:{(t or '')[a:b].lower()}" for k, a, b in own} for (_, t), own in zip(rows, base)]
+    df_t, df_e, both = defaultdict(int), defaultdict(int), defaultdict(int)
+    for ts, es in zip(said, held):
+        for t in ts:
+            df_t[t] += 1
+        for e in es:
+            df_e[e] += 1
+            for t in ts:
+                both[t, e] += 1
+    telling = set()
+    for (t, e), n in both.items():
+        ic = math.log2(len(rows) / df_e[e])
+        if ic > 0 and math.log2(len(rows) * n / (df_t[t] * df_e[e])) >= disclosure * ic - 1e-9:
+            telling.add(t)
+    out = []
+    for (d, t), own in zip(rows, base):
+        found = [m.span() for m in word.finditer(t or "") if m[0].lower() in telling]
+        out.append((d, [("term", a, b) for a, b in found if not any(a < y and x < b for _, x, y in own)]))
+    return out
+
+
+def language(labelled, rows, size=300):
+    """(id, language, score) by rank-order profiles."""
+
+    def grams(text):
+        t = re.sub(r"[\W\d_]+", " ", (text or "").lower()).strip()
+        if not any(c.isalpha() for c in t):
+            return {}
+        t = f" {t} "
+        count = defaultdict(int)
+        for n in (1, 2, 3):
+            for i in range(len(t) - n + 1):
+                if t[i : i + n] != " ":
+                    count[t[i : i + n]] += 1
+        return count
+
+    def ranks(count):
+        code = lambda g: sum(ord(c) << 21 * i for i, c in enumerate(reversed(g)))
+        return {g: i for i, g in enumerate(sorted(count, key=lambda g: (-count[g], code(g)))[:size])}
+
+    total = defaultdict(lambda: defaultdict(int))
+    for text, lang in labelled:
+        if text is not None and lang is not None:
+            for g, n in grams(text).items():
+                total[lang][g] += n
+    profiles = {k: ranks(v) for k, v in sorted(total.items())}
+    out = []
+    for d, text in rows:
+        own = ranks(grams(text))
+        if not own or not profiles:
+            out.append((d, "und", 0.0))
+            continue
+        far = {k: sum(abs(p[g] - i) if g in p else size for g, i in own.items()) for k, p in profiles.items()}
+        best = min(far, key=lambda k: (far[k], k))
+        out.append((d, best, 1 - far[best] / (size * len(own))))
+    return out
+
+
+def feistel(x, n, key, rounds=6):
+    """Slot of number x among n, in plain integers."""
+    top = 2**64 - 1
+
+    def mix(v):
+        v = (v ^ v >> 30) * 0xBF58476D1CE4E5B9 & top
+        v = (v ^ v >> 27) * 0x94D049BB133111EB & top
+        return v ^ v >> 31
+
+    half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
+    mask = (1 << half) - 1
+    while True:
+        left, right = x >> half, x & mask
+        for r in range(1, rounds + 1):
+            left, right = right, left ^ mix(right ^ mix((r * 0x9E3779B97F4A7C15 & top) ^ key)) & mask
+        x = left << half | right
+        if x < n:
+            return x
+
+
+def mix(rows, quotas, begin, block_words):
+    """Words of each document in each shard: ``rows`` (id, size) of a source in order, its ``quotas``, and its first block."""
+    words = [i for i, (_, size) in enumerate(rows) for _ in range(size)]
+    blocks = [words[i : i + block_words] for i in range(0, len(words), block_words)]
+    out, seat = [[0] * len(quotas) for _ in rows], 0
+    for shard, q in enumerate(quotas):
+        for _ in range(q):
+            for i in blocks[(begin + seat) % len(blocks)]:
+                out[i][shard] += 1
+            seat += 1
+    return [(d, size, own) for (d, size), own in zip(rows, out)]
+
+
+def fill(sizes, weights, cap=3):
+    """Targets by weight, the excess over ``cap`` times the size shared out again and again."""
+    target = [0.0] * len(sizes)
+    shut: set = set()
+    while True:
+        left = sum(sizes) - sum(cap * sizes[i] for i in shut)
+        open_ = [i for i in range(len(sizes)) if i not in shut]
+        for i in range(len(sizes)):
+            target[i] = cap * sizes[i] if i in shut else left * weights[i] / sum(weights[j] for j in open_)
+        over = {i for i in open_ if target[i] > cap * sizes[i]}
+        if not over:
+            return target
+        shut |= over

@@ -32,7 +32,7 @@ def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "quota")
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "quotas", "words")
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.deduplicate(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256", "n_passage")
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     ids = F.sha2(F.concat_ws(",", "items").cast("binary"), 256)
-    return out.select("doc_id", "n_words", "n_hit", "n_items", ids.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", ids.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "n_near")
 
 
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

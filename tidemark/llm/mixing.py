@@ -16,9 +16,10 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator, Sequence
+from fractions import Fraction
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,14 +80,16 @@ def sainte_lague(targets: Sequence[float], seats: int, most: Sequence[int]) -> l
             low = mid
         else:
             high = mid
-    got = above(high)
-    heap = [(-t / (2 * k + 1), i) for i, (t, k, m) in enumerate(zip(targets, got, most)) if t > 0 and k < m]
+    # A little more than x, so that rounding gives no seat away; the rest goes by exact quotients.
+    got = above(high * (1 + 1e-12))
+    exact = [Fraction(t) for t in targets]
+    heap = [(-exact[i] / (2 * k + 1), i) for i, (t, k, m) in enumerate(zip(targets, got, most)) if t > 0 and k < m]
     heapq.heapify(heap)
     for _ in range(seats - sum(got)):
         _, i = heapq.heappop(heap)
         got[i] += 1
         if got[i] < most[i]:
-            heapq.heappush(heap, (-targets[i] / (2 * got[i] + 1), i))
+            heapq.heappush(heap, (-exact[i] / (2 * got[i] + 1), i))
     return got
 
 
@@ -96,25 +99,23 @@ def shard_quotas(targets: Sequence[float], seats: int, most: Sequence[int], shar
     return [[b - a for a, b in zip(low, high)] for low, high in zip([[0] * len(targets), *ends], ends)]
 
 
-def _running(size: str, source: str):
-    """Adds the words before each row within its partition's run of the same source."""
+def _running(names: list[str]):
+    """Puts the words before each row, within its partition's run of the same source, in column ``before``."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, carried = object(), 0
-        for pdf in batches:
-            if not len(pdf):
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            names = pdf[source].astype(object).where(pdf[source].notna(), None)
-            new = np.array([x != y or (x is None) != (y is None) for x, y in zip(names, [last, *names[:-1]])])
-            run_no = np.cumsum(new)
-            sums = pdf[size].to_numpy(np.int64).cumsum()
-            before = sums - pdf[size].to_numpy(np.int64)
-            first = np.flatnonzero(new)
-            base = np.concatenate(([-carried], before[first]))[run_no]
-            pdf["before"] = before - base
-            carried = int(sums[-1] - base[-1])
-            last = names.iloc[-1]
-            yield pdf
+            columns = dict(zip(names, batch.columns))
+            sources = columns["src"].to_pylist()
+            new = np.array([x != y for x, y in zip(sources, [last, *sources[:-1]])])
+            size = columns["size"].to_numpy(zero_copy_only=False)
+            sums = size.cumsum()
+            base = np.concatenate(([-carried], (sums - size)[np.flatnonzero(new)]))[np.cumsum(new)]
+            columns["before"] = pa.array(sums - size - base)
+            carried, last = int(sums[-1] - base[-1]), sources[-1]
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
 
     return run
 
@@ -130,7 +131,7 @@ def _taken(sized: DataFrame, carried: list[str], weights: Sequence[float], shard
     order = [F.col("src").asc_nulls_last(), "h", *carried, "size"]
     ordered = sized.repartitionByRange(parts_for(sized.count(), TASK_ROWS, TASK_ROWS >> 9), *order).sortWithinPartitions(*order)
     ordered = ordered.withColumns({"part": F.spark_partition_id(), "before": F.lit(0).cast("bigint")})
-    ordered = staged(ordered.mapInPandas(_running("size", "src"), ordered.schema), "ordered")
+    ordered = staged(ordered.mapInArrow(_running(ordered.columns), ordered.schema), "ordered")
 
     # One row for each partition and source: at most partitions + sources.
     parts_of = staged(ordered.groupBy("src", "part").agg(F.sum("size").alias("words")), "source-parts")

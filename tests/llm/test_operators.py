@@ -1,5 +1,7 @@
 import hashlib
+import os
 import random
+import time
 from collections import Counter, defaultdict
 from fractions import Fraction
 
@@ -81,13 +83,30 @@ def test_decontamination_whole_table(spark, sf):
 def test_decontamination_cases(spark, frame, tricky, block):
     items = [(1, "one"), (1, "one"), (2, None), (3, "..."), (4, "word " * 30), (None, "quick brown"), (10, "The QUICK brown"), (6, "null id text"), (7, "é" * 500), (8, "die das und ist nicht ein eine mit von der die")]
     bench = spark.createDataFrame(items, "item_id bigint, text string")
-    out = decontamination.contamination(frame(tricky), bench, block_bytes=block)
+    out = decontamination.contamination(frame(tricky), bench, block_windows=block)
+    assert Counter((r["doc_id"], r["n_near"]) for r in out.collect()) == Counter(brute.near(tricky, items))
     out = out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items").cast("binary"), 256), F.col("n_hit") > 0)
     assert sorted((tuple(r) for r in out.collect()), key=str) == brute.contamination(tricky, items)
     assert decontamination.contamination(frame(tricky), bench.limit(0)).agg(F.sum("n_hit")).first()[0] == 0
     assert decontamination.contamination(frame(tricky).limit(0), bench).count() == 0
 
 
+def test_decontamination_segments(spark, frame):
+    """The same findings from an index of one document a segment; stored postings give the texts back."""
+    items = [(1, "b c d"), (2, "d e"), (3, "f b c")]
+    rows = [(i, " ".join("abcdef"[(i * j + j) % 6] for j in range(40))) for i in range(20)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    want = rows_of(decontamination.contamination(frame(rows), bench), "doc_id", "n_hit", "items", "spans", "near")
+    assert rows_of(decontamination.contamination(frame(rows), bench, segment_bytes=1), "doc_id", "n_hit", "items", "spans", "near") == want
+    for r in decontamination.build_index(frame(rows), segment_bytes=1).collect():
+        words = {}
+        at = 0
+        for t, n in zip(r["terms"], r["counts"]):
+            words.update(dict.fromkeys(r["positions"][at : at + n], bytes(t).decode()))
+            at += n
+        assert " ".join(words[i] for i in range(len(words))) == dict(rows)[r["ids"][0]]
+
+
 def test_proximity(spark, frame):
     df = frame([(1, "a b c d e f"), (2, "f x a"), (3, None), (4, "a a f")])
     got = rows_of(decontamination.proximity(df, ["a f", "c"], 3), "doc_id", "phrase")
@@ -101,6 +120,7 @@ def test_suffix_dedup_whole_table(spark, sf):
     got = rows_of(queries.op4_suffix_dedup(spark, sf), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert got == brute.repeated(docs_of(spark, sf))
     assert any(0 < r[2] < r[1] for r in got)
+    assert rows_of(queries.op4_suffix_dedup(spark, sf), "doc_id", "n_removed", "n_passage") == brute.repeated(docs_of(spark, sf), passages=True)
 
 
 def test_suffix_dedup_cases(spark, frame, tricky, monkeypatch):
@@ -130,9 +150,9 @@ def test_suffix_dedup_edges(spark, frame, seed):
         assert hashlib.sha256(r["kept"]).hexdigest() == r["kept_sha256"]
 
 
-@pytest.mark.parametrize("task_regions", [7, 20_000])
-def test_suffix_dedup_large_groups(spark, frame, task_regions):
-    """A passage that more than SMALL documents share in different surroundings, and near copies of one document."""
+@pytest.mark.parametrize("task_regions, group_rows", [(7, 20_000), (20_000, 20_000), (20_000, 20)])
+def test_suffix_dedup_large_groups(spark, frame, task_regions, group_rows):
+    """A passage that many documents share in different surroundings, and near copies of one document."""
     rng = random.Random(9)
     text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
     passage, model = text(470), text(1500)
@@ -141,10 +161,41 @@ def test_suffix_dedup_large_groups(spark, frame, task_regions):
         at = rng.randint(0, 1499)
         rows.append((1000 + i, model[:at] + rng.choice("XYZ") + model[at + 1 :]))
     rows += [(2000 + i, text(rng.randint(0, 200)) + passage) for i in range(3)] + [(3000, text(900)), (3001, model)]
-    got = rows_of(substring_dedup.deduplicate(frame(rows), task_regions=task_regions), "doc_id", "n_bytes", "n_removed", F.size("spans"), "kept_sha256")
+    got = rows_of(substring_dedup.deduplicate(frame(rows), task_regions=task_regions, group_rows=group_rows), "doc_id", "n_bytes", "n_removed", F.size("spans"), "kept_sha256")
     assert got == brute.repeated(rows)
 
 
+@pytest.mark.parametrize("group_rows", [20_000, 5])
+def test_suffix_dedup_passages(spark, frame, group_rows):
+    """Passages of 45 to 90 words, most of them of fewer than 400 bytes, at starts, at ends and inside."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    shared, rows = [text(n) for n in (45, 50, 51, 52, 60, 70, 90)], []
+    for i in range(80):
+        parts = [text(rng.randint(0, 60))] * rng.randint(0, 1) + [rng.choice(shared)] + [text(rng.randint(0, 60))] * rng.randint(0, 1)
+        rows.append((i, rng.choice([" ", "\n", "x"]).join(parts)))
+    got = rows_of(substring_dedup.deduplicate(frame(rows), group_rows=group_rows), "doc_id", "n_removed", "n_passage")
+    assert got == brute.repeated(rows, passages=True) and sum(0 < r[2] != r[1] for r in got) > 20
+
+
+def test_suffix_dedup_segments(monkeypatch):
+    """A text's regions do not depend on the segments in which they are looked for."""
+    rng = random.Random(13)
+    data = "".join(rng.choice("abc def gh  ") for _ in range(9000)).encode()
+    whole = substring_dedup.regions(data)
+    monkeypatch.setattr(substring_dedup, "SEGMENT", 700)
+    assert substring_dedup.regions(data) == whole
+
+
+def test_multikey_quicksort():
+    rng = random.Random(14)
+    for n in (0, 1, 30, 2000):
+        keys = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 40))) for _ in range(n)] + [b"a" * 100] * min(n, 40)
+        order = substring_dedup.multikey_quicksort(keys)
+        assert [keys[i] for i in order] == sorted(keys) and sorted(order) == list(range(len(keys)))
+
+
 # Top-k
 
 
@@ -172,6 +223,21 @@ def test_topk_large_components(spark):
     assert sorted(tuple(r) for r in topk.top_k(df, lambda i: F.pmod(i, F.lit(20)) == 0).collect()) == brute.top(vectors)
 
 
+def test_topk_prunes():
+    """Of rows in clusters few blocks are scored; the result is that of all rows."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 32)) * 64
+    vectors = np.floor(np.repeat(centres, 64, axis=0) + rng.normal(size=(40 * 64, 32)) * 4)
+    rows = np.arange(len(vectors))
+    best, scored, total = topk.search(vectors[::20], rows[::20], np.full(len(rows[::20]), -np.inf), 20, 64, rows, rows, vectors)
+    assert scored < 0.25 * total
+    for q in range(0, 128, 7):
+        score = vectors @ vectors[20 * q]
+        want = sorted((-s, i) for i, s in enumerate(score.tolist()) if i != 20 * q)[:20]
+        own = best.q == q
+        assert sorted((-s, i) for s, i in zip(best.s[own].tolist(), best.i[own].tolist())) == want
+
+
 # Secrets
 
 
@@ -203,9 +269,31 @@ def test_secrets_lexer():
     assert literals('{"clientSecret": "q8Zr!x72Lm,p"}') == ["q8Zr!x72Lm,p"]
     assert literals("export ACCESS_KEY=Zx9kQ2pL7vbn") == ["Zx9kQ2pL7vbn"]
     assert literals("a" * 5000 + "=" * 5000 + '"' * 333) == []
+    assert literals('password: str = "Hx7-kk2-Pq9"; const apiToken: string = \'zR4_vv8_Lm1\'') == ["Hx7-kk2-Pq9", "zR4_vv8_Lm1"]
+    assert literals('os.environ["DB_PASSWORD"] = "Hx7-kk2-Pq9"') == ["Hx7-kk2-Pq9"]
+    assert literals('secret = """line-1-Qz\nline-2-Xw"""') == ["line-1-Qz\nline-2-Xw"]
+    assert literals('a = "Zx9"\nb = "kQ2"\ntoken = a + b + "pL7"\nplain = a') == ["Zx9", "kQ2", "pL7"]
+    assert literals('token = ("Zx9kQ"\n         "2pL7v")') == ["Zx9kQ", "2pL7v"]
+    assert literals("<db><password>Hx7kk2Pq9z</password><user>Hx7kk2Pq9y</user></db>") == ["Hx7kk2Pq9z"]
+    assert literals('client.setPassword("Hx7-kk2-Pq9")') == ["Hx7-kk2-Pq9"]
+    assert literals("url: https://host/x?token=Hx7kk2Pq9z&user=someone-else") == ["Hx7kk2Pq9z"]
+    assert literals('token = fetch_token(); password = settings.password; secret = "the-example-Hx7kk2"') == ["the-example-Hx7kk2"]
+    assert literals("api_key = Hx7kk2Pq9z4=\nx = 1") == ["Hx7kk2Pq9z4="]
     assert secrets.redact('x password = "abcd1234efgh5678"', secrets.spans_of('x password = "abcd1234efgh5678"')) == 'x [ASSIGN]"'
 
 
+PIECES = ["a:a ", "s = s + s\n", "token=", "password = " + "'" * 3, "<token>x", 'a["b"]=', "a=b?c=d&", 'token = "ab" +\n', "a=`", "key=(", "'\"a="]
+
+
+@pytest.mark.parametrize("piece, size", [("a=", 5_000_000), ('s = s + "x"\n', 5_000_000), *((p, 500_000) for p in PIECES)])
+def test_secrets_linear(piece, size):
+    """Long texts that are dense in signs; a few seconds a 5 MB, where the square would take hours."""
+    text = piece * (size // len(piece))
+    began = time.time()
+    secrets.spans_of(text)
+    assert time.time() - began < 30 * size / 5_000_000 + 2
+
+
 # PII
 
 
@@ -237,6 +325,27 @@ def test_pii_disclosive_terms(spark, frame):
     assert text[1] == "note 1 about [TERM] [TERM] [TERM] at [EMAIL] today" and text[11] == rows[6][1]
 
 
+def test_pii_terms_match_brute_force(spark, sf, frame, tricky, monkeypatch):
+    docs = docs_of(spark, sf)
+    got = {r["doc_id"]: [x for x in r["spans"].split(",") if x.startswith("term")] for r in queries.op8_pii(spark, sf).collect()}
+    assert got == {d: [f"{k}:{a}:{b}" for k, a, b in own] for d, own in brute.terms(docs)} and any(got.values())
+    got = as_query(monkeypatch, frame(tricky), "op8_pii", spark).collect()
+    found = Counter((r["doc_id"], ",".join(x for x in r["spans"].split(",") if x.startswith("term"))) for r in got)
+    assert found == Counter((d, ",".join(f"{k}:{a}:{b}" for k, a, b in own)) for d, own in brute.terms(tricky))
+
+
+def test_pii_dense_text(spark):
+    """50,000 entities in one text: spans, terms and the sanitised text in time that does not grow with their square."""
+    text = " ".join(f"u{i}@h{i % 97}.example.org +49 30 {1_000_000 + i} word{i}é" for i in range(50_000))
+    df = spark.createDataFrame([(1, text), (2, "x y"), (3, None)], "doc_id bigint, text string")
+    began = time.time()
+    spans = {r["doc_id"]: r["spans"] for r in pii.personal_data(df).collect()}
+    assert [(s["kind"], s["start"], s["end"]) for s in spans[1] if s["kind"] != "term"] == brute.base_pii(text) and spans[2] == spans[3] == []
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
+    assert clean[1].count("[EMAIL] [PHONE] ") == 50_000 and clean[2] == "x y" and clean[3] is None
+    assert time.time() - began < 240
+
+
 def test_pii_entity_of_one_text(spark, frame):
     rows = [(0, "note about surgeon Zygmunt reached at zyg@clinic.example.org today")]
     rows += [(10 + i, f"note {i} about nothing special reached today here {i}") for i in range(40)]
@@ -265,6 +374,13 @@ def test_language_id_held_out(spark):
     assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in held) >= 0.97 * len(held)
 
 
+def test_language_id_matches_brute_force(spark, sf):
+    docs = [tuple(r) for r in table(spark, sf, "documents").select("doc_id", "text", "lang").collect()]
+    learnt = [(t, lang) for d, t, lang in docs if brute.crc(str(d)) % 4 != 2]
+    want = {d: (lang, pytest.approx(score)) for d, lang, score in brute.language(learnt, [(d, t) for d, t, _ in docs])}
+    assert {r["doc_id"]: (r["lang_pred"], r["score"]) for r in queries.op9_language_id(spark, sf).collect()} == want
+
+
 def test_language_id_cases(spark, frame, tricky, monkeypatch):
     df = frame(tricky, lambda i: "de" if i == len(tricky) - 1 else None if i % 4 == 1 else "en")
     got = as_query(monkeypatch, df, "op9_language_id", spark).collect()
@@ -331,6 +447,29 @@ def test_mixing(spark, sf, frame, tricky, monkeypatch):
         mixing.mix(df, max_sources=1)
 
 
+def test_mixing_matches_brute_force(spark, sf):
+    """Targets, quotas by quotients, and every document's words in every shard; only the seeded order is taken from Spark."""
+    docs = table(spark, sf, "documents")
+    rows = docs.select("doc_id", "source", "text", F.xxhash64(F.lit(mixing.SEED), F.col("doc_id").cast("string")).alias("h")).collect()
+    sources = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r["h"], r["doc_id"])):
+        sources[r["source"]].append((r["doc_id"], len(brute.WORD.findall(r["text"] or ""))))
+    names = sorted(sources, key=lambda s: (s is None, s or ""))
+    sizes = [sum(n for _, n in sources[s]) for s in names]
+    got = queries.op2_mixing(spark, sf).collect()
+    targets = [next(r["target"] for r in got if r["source"] == s) for s in names]  # to the last bit, for quotients of equal value
+    assert targets == pytest.approx(brute.fill(sizes, [(1, 2, 3)[i % 3] for i in range(len(names))]))
+    blocks = [-(-n // mixing.BLOCK_WORDS) for n in sizes]
+    seats = int(sum(targets) / mixing.BLOCK_WORDS + 0.5)
+    ends = [seats_by_quotients(targets, seats * (i + 1) // mixing.SHARDS, [3 * b for b in blocks]) for i in range(mixing.SHARDS)]
+    want = {}
+    for k, s in enumerate(names):
+        quotas = [b - a for a, b in zip([0, *(e[k] for e in ends)], [e[k] for e in ends])]
+        begin = (mixing.SEED * 2654435761 + k * 40503) % blocks[k]
+        want.update({d: (n, quotas, own, sum(own)) for d, n, own in brute.mix(sources[s], quotas, begin, mixing.BLOCK_WORDS)})
+    assert {r["doc_id"]: (r["size"], r["quotas"], r["words"], r["taken"]) for r in got} == want
+
+
 # Sharding
 
 
@@ -354,6 +493,32 @@ def test_capacity_is_smallest():
         assert len(cuts) == k + 1 and cuts == sorted(cuts) and max(sum(sizes[a:b]) for a, b in zip(cuts, cuts[1:])) <= cap
 
 
+@pytest.mark.parametrize("bits", [1, 3, 16])
+def test_capacity_of_groups(spark, bits):
+    """Cells are split until the capacity is the smallest of the groups themselves, found here from all of them."""
+    rng = random.Random(6)
+    for shards in (3, 16):
+        groups = {rng.getrandbits(64) - 2**63: rng.choice([1, 5, rng.randint(1, 400)]) for _ in range(700)}
+        df = spark.createDataFrame([(h, n, 1) for h, n in groups.items()], "h bigint, size bigint, n bigint")
+        cells = sharding.cells_of(df, shards, bits)
+        sizes = [groups[h] for h in sorted(groups)]
+        assert sum(c.size for c in cells) == sum(sizes) and all(a.high < b.low for a, b in zip(cells, cells[1:]))
+        assert sharding.smallest_capacity([c.size for c in cells], shards) == sharding.smallest_capacity(sizes, shards)
+
+
+def test_sharding_is_minimax(spark, sf):
+    """The query's largest shard against the smallest capacity of all groups, in the order of their hash."""
+    docs = table(spark, sf, "documents")
+    rows = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), (F.octet_length(F.coalesce("text", F.lit(""))) + 1).alias("size")).collect()
+    sizes = Counter()
+    for r in rows:
+        sizes[r["h"]] += r["size"]
+    load = Counter()
+    for r in queries.op5_sharding(spark, sf).collect():
+        load[r["shard"]] += r["size"]
+    assert max(load.values()) == sharding.smallest_capacity([sizes[h] for h in sorted(sizes)], 16)
+
+
 def check_shards(docs, got):
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == Counter((d, len((t or "").encode()) + 1, brute.crc(t)) for d, t in docs)
     slots = defaultdict(list)
@@ -381,7 +546,7 @@ def test_sharding(spark, frame, tricky, monkeypatch):
 
 
 def test_sharding_hot_group(spark, frame):
-    rows = [(i, "same text") for i in range(500)] + [(1000 + i, f"text {i} " + "w" * (i % 50)) for i in range(1000)]
+    rows = [(i, "same text") for i in range(500)] + [(1, "same text")] * 300 + [(1000 + i, f"text {i} " + "w" * (i % 50)) for i in range(1000)]
     got = sharding.shard(frame(rows)).collect()
     slots = defaultdict(list)
     for r in got:
@@ -396,6 +561,7 @@ def test_sharding_hot_group(spark, frame):
 def test_permutation(n):
     slots = training_order.permuted(np.arange(n), n)
     assert sorted(slots.tolist()) == list(range(n)) and (training_order.unpermuted(slots, n) == np.arange(n)).all()
+    assert slots.tolist() == [brute.feistel(x, n, training_order.KEY) for x in range(n)]
     if n > 100:
         assert (slots != training_order.permuted(np.arange(n), n, 7)).any() and abs(np.corrcoef(slots, np.arange(n))[0, 1]) < 0.2
 
@@ -405,6 +571,8 @@ def test_training_order_round_trip(spark, frame, tricky, tmp_path):
     out = training_order.training_order(frame(tricky), voc, queries.PATTERN, queries.END_OF_TEXT, length=length, shard_sequences=100)
     got = out.collect()
     assert sorted(r["slot"] for r in got) == list(range(len(got)))
+    number = {(r["doc_id"], r["seq"]): int(training_order.unpermuted(np.array([r["slot"]]), len(got))[0]) for r in got if r["doc_id"] not in (None, 5)}
+    assert all(n == number[d, 0] + k for (d, k), n in number.items())
     texts = defaultdict(list)
     encode = training_order.encoding(voc, queries.PATTERN)
     pieces = defaultdict(dict)
@@ -426,3 +594,12 @@ def test_training_order_round_trip(spark, frame, tricky, tmp_path):
     assert sum(m["records"] for m in manifest) == len(got)
     empty = frame(tricky).limit(0)
     assert training_order.training_order(empty, voc, queries.PATTERN, queries.END_OF_TEXT).count() == 0
+
+
+def test_clear(spark):
+    from tidemark.llm import common
+
+    kept = common.staged(spark.range(3), "some", 3)
+    assert kept.count() == 3
+    common.clear(spark)
+    assert not os.path.exists(common.shared_dir(spark))

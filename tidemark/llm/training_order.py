@@ -25,12 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import shared_dir, type_of
+from tidemark.llm.common import parts_for, shared_dir, type_of
 
 LENGTH = 512
 SHARD_SEQUENCES = 16384
 KEY = 0x5EED_0F_0DDBA11
 ROUNDS = 6
+#: Shards that a task puts in order, where there are many.
+SHARDS_A_TASK = 8
 #: Bytes of a vocabulary file that is sent to the tasks.
 MOST_VOCABULARY = 64 << 20
 _encodings: dict = {}
@@ -122,7 +124,7 @@ def training_order(
 ) -> DataFrame:
     """(id, seq, n_tokens, slot, shard, byte_offset, record BINARY): range partitions of whole shards, in slot order."""
     spark: SparkSession = docs.sparkSession
-    path = f"{shared_dir(spark)}/tidemark-sequences-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/sequences-{uuid.uuid4().hex}"
     made = tokenised(docs, vocabulary, pattern, end, length, id_col, text_col)
     made.write.option("compression", "zstd").parquet(path)
     made = spark.read.schema(made.schema).parquet(path)
@@ -141,7 +143,7 @@ def training_order(
     placed = made.join(F.broadcast(starts_df), "part").withColumn("slot", slot_of(F.col("start") + F.col("at")))
     # Range partitions whose splitters are shard ends: partition p holds shards in order, and before those of p + 1.
     shards = max(1, -(-n // shard_sequences))
-    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), shards)
+    parts = parts_for(shards, SHARDS_A_TASK, 1)
     placed = placed.select("id", "seq", "n_tokens", "slot", F.expr(f"slot div {shard_sequences}").alias("shard"), "tokens")
     placed = placed.repartitionById(parts, F.expr(f"cast(shard * {parts} div {shards} as int)")).sortWithinPartitions("slot")
     fill = F.lit(int(end).to_bytes(2, "little"))

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import brute
 import corpus_pipeline as cp
+import numpy as np
 import pytest
 
 from tidemark.llm import language_id, mixing, simhash
@@ -58,6 +59,34 @@ def test_language_stage_rejects(spark):
     assert sum(d < 10**6 for d in got) == docs.count()
 
 
+@pytest.mark.parametrize("tally", [language_id.TALLY, 500])
+def test_language_fitted_on_all(spark, tally):
+    """Profiles and least scores of languages of 7,000 texts are those of all of them, not of some."""
+    rng, rows = random.Random(3), []
+    for lang, letters in (("aa", "abcdefghij"), ("bb", "hijklmnopq")):
+        rows += [(lang, " ".join("".join(rng.choices(letters, k=rng.randint(1, 5))) for _ in range(rng.randint(1, 6)))) for _ in range(7000)]
+    docs = spark.createDataFrame([(i, t, n) for i, (n, t) in enumerate(rows)] + [(None, None, "aa"), (-1, "abc", None)], "doc_id bigint, text string, lang string")
+    profiles = language_id.learn(docs, tally=tally)
+    total = {"aa": Counter(), "bb": Counter()}
+    for lang, text in rows:
+        for code, n in zip(*language_id.ngrams(text)):
+            total[lang][int(code)] += int(n)
+    assert profiles == {lang: [c for c, _ in sorted(own.items(), key=lambda x: (-x[1], x[0]))[: language_id.PROFILE]] for lang, own in total.items()}
+    table, scores = language_id.Profiles(profiles), defaultdict(list)
+    for lang, text in rows:
+        name, score = table.nearest(text)
+        scores[lang] += [score] * (name == lang)
+    want = {lang: language_id.REJECT * float(np.percentile(s, 1)) for lang, s in scores.items()}
+    assert language_id.least_scores(docs, profiles) == pytest.approx(want, rel=1e-12)
+
+
+@pytest.mark.parametrize("scores", [[0.5], [0.2, 0.9], [0.3] * 150 + [0.8], [0.1] + [0.7] * 100, [0.25] + [0.5] * 200])
+def test_least_scores_of_few(spark, monkeypatch, scores):
+    monkeypatch.setattr(language_id, "map_rows", lambda df, *a: spark.createDataFrame([("x", "x", s) for s in scores] + [("x", "y", 0.0)], "lang string, found string, score double"))
+    docs = spark.createDataFrame([], "text string, lang string")
+    assert language_id.least_scores(docs, {"x": [97]}) == pytest.approx({"x": language_id.REJECT * float(np.percentile(scores, 1))}, rel=1e-12)
+
+
 def test_near_dedup_stage(kept):
     before, after = texts(kept[0]), texts(kept[1])
     sets, where = {d: shingles(t) for d, t in before.items()}, defaultdict(list)

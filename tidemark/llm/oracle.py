@@ -123,7 +123,7 @@ select doc_id, coalesce(n_email, 0) as n_email, coalesce(n_ip, 0) as n_ip, coale
 from docs left join sums using (r)
 """
 
-#: Profiles are learnt from all documents here, as the operator does up to its bound of documents a language.
+#: Profiles are learnt from all documents here, as the operator does.
 OP9 = r"""
 with docs as (
   select row_number() over () as r, doc_id, lang, text, trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}]+', ' ', 'g')) as t,

@@ -346,6 +346,27 @@ def test_pii_dense_text(spark):
     assert time.time() - began < 240
 
 
+def test_pii_term_pattern(spark, sf):
+    """The pattern of terms takes the same code points as its definition, and little longer than a plain one in tasks side by side."""
+    every = [" ".join(f"{chr(c) * 4}{chr(c)}b c{chr(c)}" for c in range(at, min(at + 4096, 0x110000)) if not 0xD800 <= c < 0xE000) for at in range(0, 0x110000, 4096)]
+    found = lambda p: F.regexp_extract_all("t", F.lit(p), F.lit(0))
+    both = spark.createDataFrame([(t,) for t in every], "t string").select(found(pii._TERM).alias("a"), found(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]{4,}").alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in both) and sum(len(r["a"]) for r in both) > 10**6
+    words = table(spark, sf, "documents").select(F.col("text").alias("t")).crossJoin(spark.range(10)).repartition(4).cache()
+
+    def seconds(pattern):
+        def once():
+            start = time.perf_counter()
+            words.select(F.sum(F.size(found(pattern)))).collect()
+            return time.perf_counter() - start
+
+        return min(once() for _ in range(3))
+
+    words.count()
+    assert seconds(pii._TERM) < 4 * seconds("[a-z]{4,}+")
+    words.unpersist()
+
+
 def test_pii_entity_of_one_text(spark, frame):
     rows = [(0, "note about surgeon Zygmunt reached at zyg@clinic.example.org today")]
     rows += [(10 + i, f"note {i} about nothing special reached today here {i}") for i in range(40)]
